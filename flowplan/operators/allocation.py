@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from flowplan.functions.columns import ratio_or, zero
 from flowplan.operators import panel
+from flowplan.operators.evaluation import realized_from
 from flowplan.operators.inventory import replay
-from flowplan.operators.skew import SALTS, salted_join
+from flowplan.operators.skew import every_pair, salted_join
 
 TOLERANCE = 1e-6
 
@@ -27,16 +28,8 @@ class Allocation:
     origins: DataFrame
 
     def flows(self) -> DataFrame:
-        """All shipments, lane or not: by definition one row per origin and share.
-
-        Each share meets the origins of every salt group, so the output is spread over
-        tasks by group as well as by destination.
-        """
-        origins = self.origins.withColumn("_salt", F.pmod(F.hash("origin_id"), F.lit(SALTS)))
-        shares = self.shares.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        )
-        return shares.join(origins, "_salt").select(
+        """All shipments, lane or not: by definition one row per origin and share."""
+        return every_pair(self.shares, self.origins, "destination_id").select(
             "origin_id",
             "destination_id",
             F.col("date").alias("period"),
@@ -88,6 +81,16 @@ class Allocation:
             zero(ratio_or(F.sum(above), F.sum("p.periods"), 0.0)).alias("infeasibility_rate")
         )
 
+    def realized(self, demand: DataFrame, lanes: DataFrame, destinations: DataFrame) -> DataFrame:
+        """Realized KPIs, from the factors."""
+        return realized_from(
+            self.inflow().select("destination_id", "date", "inflow"),
+            self.transport_cost(lanes),
+            self.shares.select("date"),
+            demand,
+            destinations,
+        )
+
     def kpis(self, demand: DataFrame, lanes: DataFrame) -> DataFrame:
         """One row: cost and service of the rule. It plans no holding cost."""
         served = self.replayed(demand).agg(
@@ -110,14 +113,16 @@ def allocate(signal: DataFrame, origins: DataFrame) -> Allocation:
     )
     ids = signal.select("destination_id").distinct()
     cells = panel.dense(ids, panel.horizon_array(signal), values)
-    # Totals are aggregated, not windowed: a period may hold every destination there is.
-    totals = cells.groupBy("date").agg(
-        F.sum("demand").alias("total"), F.count(F.lit(1)).alias("members")
-    )
-    share = F.when(F.col("total") > 0, F.col("demand") / F.col("total")).otherwise(
-        1.0 / F.col("members")
+    # Totals are aggregated and looked up by period number: a period may hold every
+    # destination there is, so the cells are neither windowed nor shuffled by period.
+    totals = (
+        cells.groupBy("t")
+        .agg(F.sum("demand").alias("total"), F.count(F.lit(1)).alias("members"))
+        .agg(F.array_sort(F.collect_list(F.struct("t", "total", "members"))).alias("totals"))
     )
-    shares = cells.join(totals, "date").select(
-        "destination_id", "t", "date", share.alias("share")
+    looked_up = cells.withColumn("_of", F.get(totals.scalar(), F.col("t")))
+    share = F.when(F.col("_of.total") > 0, F.col("demand") / F.col("_of.total")).otherwise(
+        1.0 / F.col("_of.members")
     )
+    shares = looked_up.select("destination_id", "t", "date", share.alias("share"))
     return Allocation(shares, origins.select("origin_id", "daily_capacity"))

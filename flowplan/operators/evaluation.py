@@ -67,25 +67,19 @@ def plan_cost(
     ).withColumn("total_cost", F.col("transportation_cost") + F.col("holding_cost"))
 
 
-def inventory_replay(
-    flows: DataFrame,
-    demand: DataFrame,
-    destinations: DataFrame,
-    horizon: DataFrame | None = None,
-) -> DataFrame:
-    """Every destination on every shipped date with inflow, stock, shortage and fulfilled demand.
-
-    The replay covers the dates that have a flow; pass ``horizon`` (column ``date``) to
-    replay other dates as well.
-    """
-    dates = panel.horizon_array(
-        flows.select(F.col("period").alias("date")) if horizon is None else horizon
-    )
-    inflow = flows.groupBy("destination_id", F.col("period").alias("date")).agg(
+def arrivals(flows: DataFrame) -> DataFrame:
+    return flows.groupBy("destination_id", F.col("period").alias("date")).agg(
         F.sum("flow").alias("inflow")
     )
+
+
+def inventory_replay(
+    inflow: DataFrame, demand: DataFrame, destinations: DataFrame, horizon: DataFrame
+) -> DataFrame:
+    """Every destination on every horizon date with inflow, stock, shortage and fulfilled demand."""
+    ids = destinations.select("destination_id").distinct()
     cells = (
-        panel.dense(destinations.select("destination_id").distinct(), dates, demand)
+        panel.dense(ids, panel.horizon_array(horizon), demand)
         .join(inflow, ["destination_id", "date"], "left")
         .withColumn("inflow", zero(F.col("inflow")))
     )
@@ -110,13 +104,31 @@ def realized(
     lanes: DataFrame,
     destinations: DataFrame,
     horizon: DataFrame | None = None,
+) -> DataFrame:
+    """Realized KPIs of a plan, per destination and in total.
+
+    The replay covers the dates that have a flow; pass ``horizon`` (column ``date``) to
+    replay other dates as well.
+    """
+    dates = flows.select(F.col("period").alias("date")) if horizon is None else horizon
+    return realized_from(
+        arrivals(flows), transport_cost(flows, lanes), dates, demand, destinations
+    )
+
+
+def realized_from(
+    inflow: DataFrame,
+    transport: DataFrame,
+    horizon: DataFrame,
+    demand: DataFrame,
+    destinations: DataFrame,
 ) -> DataFrame:
     """Realized KPIs per destination plus one grand-total row with a null destination.
 
     The total counts transport to destinations that the destinations table lacks.
     """
     served = (
-        inventory_replay(flows, demand, destinations, horizon)
+        inventory_replay(inflow, demand, destinations, horizon)
         .groupBy("destination_id")
         .agg(
             F.sum("inventory").alias("held"),
@@ -128,7 +140,7 @@ def realized(
         .withColumn("realized_holding_cost", F.col("held") * zero(F.col("holding_cost")))
         .withColumn("listed", F.lit(True))
     )
-    rows = served.join(transport_cost(flows, lanes), "destination_id", "full").select(
+    rows = served.join(transport, "destination_id", "full").select(
         "destination_id", "listed", *[zero(F.col(name)).alias(name) for name in SUMS]
     )
     levels = rows.groupingSets(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowplan.functions.columns import zero
-from flowplan.operators.panel import in_series
+from flowplan.operators.panel import in_series, so_far
 
 
 def replay(panel: DataFrame, order: str = "t") -> DataFrame:
@@ -16,8 +16,7 @@ def replay(panel: DataFrame, order: str = "t") -> DataFrame:
     ``max(0, -min S)``, so stock and shortage need two running aggregates and no recursion.
     Adds ``inventory``, ``shortage`` and ``fulfilled``.
     """
-    window = in_series(order=order)
-    running = window.rowsBetween(window.unboundedPreceding, window.currentRow)
+    window, running = in_series(order=order), so_far(order=order)
     return (
         panel.withColumn("_net", F.sum(F.col("inflow") - F.col("demand")).over(running))
         .withColumn("_lost", F.greatest(F.lit(0.0), -F.min("_net").over(running)))
@@ -45,7 +44,6 @@ def planned_inventory(cells: DataFrame, flows: DataFrame, initial: DataFrame | N
     shipped = flows.groupBy("destination_id", F.col("period").alias("date")).agg(
         F.sum("flow").alias("shipped")
     )
-    window = in_series(order="t")
     balance = F.col("inflow") + zero(F.col("shipped")) - F.col("demand")
     return (
         with_initial(cells, initial)
@@ -53,8 +51,6 @@ def planned_inventory(cells: DataFrame, flows: DataFrame, initial: DataFrame | N
         .select(
             "destination_id",
             F.col("date").alias("period"),
-            F.sum(balance)
-            .over(window.rowsBetween(window.unboundedPreceding, window.currentRow))
-            .alias("inventory"),
+            F.sum(balance).over(so_far(order="t")).alias("inventory"),
         )
     )

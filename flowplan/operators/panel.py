@@ -7,7 +7,7 @@ number of input rows, however many copies of a row the input holds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from flowplan.functions.columns import zero
@@ -82,11 +82,15 @@ def demand_in_horizon(signal: DataFrame, dates: DataFrame | None = None) -> Data
     return kept.groupBy(*SERIES).agg(F.sum(zero(F.col("demand"))).alias("demand"))
 
 
-def in_series(*, order: str = "date") -> Window:
+def in_series(*, order: str = "date") -> WindowSpec:
     return Window.partitionBy("destination_id").orderBy(order)
 
 
-def whole_series() -> Window:
+def so_far(*, order: str = "date") -> WindowSpec:
+    return in_series(order=order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def whole_series() -> WindowSpec:
     return Window.partitionBy("destination_id")
 
 

@@ -25,3 +25,22 @@ def salted_join(
     salted = facts.withColumn("_salt", F.pmod(F.hash(*spread_by), F.lit(salts)))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def salts_for(facts: DataFrame, keys: list[str], rows_per_group: int = 1_000_000) -> int:
+    """How many groups the heaviest key must be split into to stay under ``rows_per_group``."""
+    heaviest = (
+        facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    )
+    return max(1, -(-(heaviest or 0) // rows_per_group))
+
+
+def every_pair(left: DataFrame, right: DataFrame, left_key: str, salts: int = SALTS) -> DataFrame:
+    """Each left row with each right row, for results that are a product by definition.
+
+    Left rows fall into ``salts`` groups that each meet all right rows, so tasks split the
+    output evenly whichever side is large.
+    """
+    grouped = left.withColumn("_salt", F.pmod(F.hash(left_key), F.lit(salts)))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return grouped.join(copies, "_salt").drop("_salt")
