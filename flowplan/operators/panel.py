@@ -164,3 +164,10 @@ def to_signal(forecasts: DataFrame, forecast: Column | None = None) -> DataFrame
     """Forecast rows in demand-signal shape."""
     value = F.col("forecast") if forecast is None else forecast
     return forecasts.select("destination_id", "date", value.cast("double").alias("demand"))
+
+
+def on_horizon(table: DataFrame, dates: DataFrame) -> DataFrame:
+    """Each row of ``table`` once per horizon date, as (t, period)."""
+    return table.select(
+        *table.columns, F.posexplode(dates.select("dates").scalar()).alias("t", "period")
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +48,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="flowplan-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name for written tables, inside the shared checkpoint folder if there is one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.gettempdir()
+    return f"{base}/flowplan-{name}-{uuid.uuid4().hex}"

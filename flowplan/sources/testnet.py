@@ -17,10 +17,10 @@ class TestNetwork:
     __test__ = False
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._spark, self._folder = spark, folder
+        self.spark, self._folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 
     def demand_cells(self) -> DataFrame:
         """Ordered quantity per nation and month, only cells that have orders."""
