@@ -151,6 +151,8 @@ oracle(
         SELECT rank, rule, count(*) AS violations FROM bad_report GROUP BY ALL
         ORDER BY rank LIMIT 1""",
     dq_network="""
+        SELECT 1 AS rank, 'empty_table' AS rule, 'destinations' AS key, 0.0::DOUBLE AS detail
+        FROM places HAVING max(holding_cost) <= 1 UNION ALL
         SELECT 2 AS rank, 'null_values' AS rule, 'demand_history.demand' AS key,
                count(*)::DOUBLE AS detail
         FROM order_cells WHERE demand % 7 = 0 HAVING count(*) > 0""",
@@ -631,7 +633,8 @@ oracle(
              (SELECT sum(share * unit_cost * daily_capacity) AS c FROM lag_shares
               JOIN routes USING (destination_id) JOIN tight_origins USING (origin_id))""",
     planning_metrics=f"""
-        SELECT scenario, good AS n_successful_destinations, bad AS n_failed_destinations,
+        SELECT scenario, coalesce(good, 0) AS n_successful_destinations,
+               coalesce(bad, 0) AS n_failed_destinations,
                {r("mean_wape", 6)} AS mean_wape, {r("mean_mae", 4)} AS mean_mae,
                {r("planned_cost", 2)} AS total_cost, 0.0::DOUBLE AS holding_cost,
                {r("unmet", 6)} AS unmet_demand_pct, 0.0::DOUBLE AS infeasibility_rate

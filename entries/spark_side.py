@@ -680,7 +680,9 @@ def grid(net):
 @query
 def planning_metrics(net):
     return scenarios.scenario_planning(grid(net)).select(
-        "scenario", "n_successful_destinations", "n_failed_destinations",
+        "scenario",
+        F.coalesce("n_successful_destinations", F.lit(0)).alias("n_successful_destinations"),
+        F.coalesce("n_failed_destinations", F.lit(0)).alias("n_failed_destinations"),
         rounded("mean_wape", 6), rounded("mean_mae", 4),
         rounded("total_cost", 2),
         rounded("holding_cost", 2),

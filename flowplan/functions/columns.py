@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import partial, reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NAN = float("nan")
@@ -31,3 +33,9 @@ def normal_noise(seed: int, *keys: Column) -> Column:
     """A standard normal draw (Box-Muller) fixed by the keys alone."""
     radius = F.sqrt(-2.0 * F.log(1.0 - unit_noise(seed, *keys)))
     return radius * F.cos(unit_noise(seed + 1, *keys) * 6.283185307179586)
+
+
+def one_row(*totals: DataFrame) -> DataFrame:
+    """Put the columns of several one-row frames side by side in one row."""
+    stacked = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), totals)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])

@@ -11,11 +11,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowplan.functions.columns import ratio_or, zero
+from flowplan.functions.columns import one_row, ratio_or, zero
 from flowplan.operators import panel
 from flowplan.operators.evaluation import realized_from
 from flowplan.operators.inventory import replay
 from flowplan.operators.skew import every_pair, salted_join
+from flowplan.session import cut_lineage
 
 TOLERANCE = 1e-6
 
@@ -96,18 +97,24 @@ class Allocation:
         served = self.replayed(demand).agg(
             F.sum("shortage").alias("shortage"), F.sum("demand").alias("demand")
         )
-        cost = self.transport_cost(lanes).agg(zero(F.sum("transport_cost")).alias("cost"))
-        return served.select(
-            cost.scalar().alias("transportation_cost"),
+        cost = self.transport_cost(lanes).agg(
+            zero(F.sum("transport_cost")).alias("transportation_cost")
+        )
+        unmet = ratio_or(F.col("shortage"), F.col("demand"), 0.0) * 100.0
+        return one_row(served, cost, self.infeasibility_rate()).select(
+            "transportation_cost",
             F.lit(0.0).alias("holding_cost"),
-            cost.scalar().alias("total_cost"),
-            (ratio_or(F.col("shortage"), F.col("demand"), 0.0) * 100.0).alias("unmet_demand_pct"),
-            self.infeasibility_rate().scalar().alias("infeasibility_rate"),
+            F.col("transportation_cost").alias("total_cost"),
+            unmet.alias("unmet_demand_pct"),
+            "infeasibility_rate",
         )
 
 
 def allocate(signal: DataFrame, origins: DataFrame) -> Allocation:
-    """Share each period by the clamped forecast, equally where the whole period is zero."""
+    """Share each period by the clamped forecast, equally where the whole period is zero.
+
+    The shares are materialised: stock, cost and KPIs each read them.
+    """
     values = signal.select(
         "destination_id", "date", F.greatest(zero(F.col("demand")), F.lit(0.0)).alias("demand")
     )
@@ -125,4 +132,4 @@ def allocate(signal: DataFrame, origins: DataFrame) -> Allocation:
         1.0 / F.col("_of.members")
     )
     shares = looked_up.select("destination_id", "t", "date", share.alias("share"))
-    return Allocation(shares, origins.select("origin_id", "daily_capacity"))
+    return Allocation(cut_lineage(shares), origins.select("origin_id", "daily_capacity"))

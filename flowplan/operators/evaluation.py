@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowplan.functions.columns import ratio_or, zero
+from flowplan.functions.columns import one_row, ratio_or, zero
 from flowplan.operators import panel
 from flowplan.operators.inventory import replay
 
@@ -61,10 +61,9 @@ def plan_cost(
         .join(holding_costs(destinations), "destination_id", "left")
         .agg(zero(F.sum(F.col("held") * zero(F.col("holding_cost")))).alias("holding_cost"))
     )
-    # Both sides are a single total.
-    return transport.select(
-        "transportation_cost", holding.scalar().alias("holding_cost")
-    ).withColumn("total_cost", F.col("transportation_cost") + F.col("holding_cost"))
+    return one_row(transport, holding).withColumn(
+        "total_cost", F.col("transportation_cost") + F.col("holding_cost")
+    )
 
 
 def arrivals(flows: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowplan.config import ScenarioConfig
+from flowplan.functions.columns import one_row
 from flowplan.operators import evaluation, panel
 from flowplan.operators.allocation import allocate
 from flowplan.operators.models import Registry, lag_one_panel
@@ -68,19 +69,18 @@ def run_scenario(
             "destination_id", F.col("date").alias("period"), "inventory"
         )
         planned = plan.kpis(demand, lanes)
-        kpis = plan.realized(demand, lanes, destinations)
+        kpis = cut_lineage(plan.realized(demand, lanes, destinations))
     else:
         solved = require_complete(
             optimize(signal, origins, lanes, destinations, max_variables=max_variables)
         )
         flows, inventory = solved.flows, solved.inventory()
-        kpis = evaluation.realized(flows, demand, lanes, destinations)
-        unmet = evaluation.grand_total(kpis).select((1.0 - F.col("fill_rate")) * 100.0)
-        planned = solved.cost().select(
-            "*",
-            unmet.scalar().alias("unmet_demand_pct"),
+        kpis = cut_lineage(evaluation.realized(flows, demand, lanes, destinations))
+        service = evaluation.grand_total(kpis).select(
+            ((1.0 - F.col("fill_rate")) * 100.0).alias("unmet_demand_pct"),
             F.lit(0.0).alias("infeasibility_rate"),
         )
+        planned = one_row(solved.cost(), service)
     return ScenarioResult(
         config, signal, flows, inventory, _planning(planned, config, run), _models(run, signal), kpis
     )
@@ -101,14 +101,14 @@ def _models(run: ForecastRun | None, signal: DataFrame) -> DataFrame:
 
 
 def _planning(planned: DataFrame, config: ScenarioConfig, run: ForecastRun | None) -> DataFrame:
+    counts = {
+        "n_successful_destinations": "long",
+        "n_failed_destinations": "long",
+        "mean_wape": "double",
+        "mean_mae": "double",
+    }
     if run is None:
-        counts = {
-            name: F.lit(None).cast(kind)
-            for name, kind in (
-                ("n_successful_destinations", "long"), ("n_failed_destinations", "long"),
-                ("mean_wape", "double"), ("mean_mae", "double"),
-            )
-        }
+        rows = planned.withColumns({name: F.lit(None).cast(kind) for name, kind in counts.items()})
     else:
         totals = run.outcomes.agg(
             F.count_if("success").alias("n_successful_destinations"),
@@ -116,13 +116,12 @@ def _planning(planned: DataFrame, config: ScenarioConfig, run: ForecastRun | Non
             F.avg("final.wape").alias("mean_wape"),
             F.avg("final.mae").alias("mean_mae"),
         )
-        one = totals.select(F.struct(*totals.columns))
-        counts = {name: one.scalar()[name] for name in totals.columns}
-    return planned.select(
+        rows = one_row(planned, totals)
+    return rows.select(
         F.lit(config.name).alias("scenario"),
         F.lit(config.forecast_strategy).alias("forecast_strategy"),
         F.lit(config.plan_strategy).alias("plan_strategy"),
-        *[column.alias(name) for name, column in counts.items()],
+        *counts,
         "total_cost", "transportation_cost", "holding_cost",
         "unmet_demand_pct", "infeasibility_rate",
     )
@@ -136,9 +135,10 @@ def run_grid(
 ) -> tuple[dict[str, ScenarioResult], dict[str, str]]:
     """Run every scenario; one that fails is reported by name and the others go on.
 
-    Scenarios with the same forecast settings share one materialised signal.
+    The tables are materialised once; scenarios with the same forecast share its signal.
     """
-    tables = {**tables, "demand_history": cut_lineage(tables["demand_history"])}
+    kept = {name: cut_lineage(tables[name]) for name in ("demand_history", "lanes", "origins")}
+    tables = {**tables, **kept}
     signals: dict[tuple, tuple[DataFrame, ForecastRun | None]] = {}
     results, failures = {}, {}
     for config in configs:
