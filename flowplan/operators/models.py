@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowplan.operators.panel import in_series
+from flowplan.operators.panel import in_series, on_dates
 
 ONE_STEP = "one_step"
 MULTI_STEP = "multi_step"
@@ -150,9 +150,8 @@ def lag_one_panel(demand: DataFrame, dates: DataFrame) -> DataFrame:
     lagged_rows = demand.select(
         "destination_id", "date", F.lag("demand", 1).over(in_series()).alias("demand")
     )
-    return lagged_rows.join(dates.select("date"), "date", "left_semi").filter(
-        F.col("demand").isNotNull()
-    ).select("destination_id", "date", "demand")
+    kept = on_dates(lagged_rows, dates).filter(F.col("demand").isNotNull())
+    return kept.select("destination_id", "date", "demand")
 
 
 def attach_all(

@@ -57,9 +57,19 @@ def last_dates(dated: DataFrame, periods: int, column: str = "date") -> DataFram
     return dated.select(F.col(column).alias("date")).distinct().orderBy(F.desc("date")).limit(periods)
 
 
+def small_calendar(dates: DataFrame, *columns: str) -> DataFrame:
+    """Distinct calendar rows, marked for broadcast.
+
+    Their number is bounded by the days of the calendar whatever the size of the table they
+    come from. Without the mark Spark sizes them like that table and shuffles by date, and
+    few dates make few, heavy partitions.
+    """
+    return F.broadcast(dates.select(*columns).distinct())
+
+
 def on_dates(dated: DataFrame, dates: DataFrame) -> DataFrame:
     """Rows whose date is one of ``dates``."""
-    return dated.join(dates.select("date"), "date", "left_semi")
+    return dated.join(small_calendar(dates, "date"), "date", "left_semi")
 
 
 def dense(ids: DataFrame, dates: DataFrame, demand: DataFrame) -> DataFrame:

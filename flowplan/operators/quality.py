@@ -123,7 +123,7 @@ def unreachable(demand: DataFrame, lanes: DataFrame, rank: int = 9) -> DataFrame
     lost = (
         demand.select("destination_id")
         .distinct()
-        .join(lanes.select("destination_id"), "destination_id", "left_anti")
+        .join(lanes.select("destination_id").distinct(), "destination_id", "left_anti")
     )
     return _rows(lost, rank, "unreachable", F.col("destination_id"), F.lit(None))
 
