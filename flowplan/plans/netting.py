@@ -24,17 +24,31 @@ class Demand:
     def required(self) -> DataFrame:
         """What must be shipped per cell once stock on hand is used for the earliest demand.
 
-        Whatever the plan, this part of the demand is left to ship and the stock before it
-        is carried anyway, so netting changes the cost by a constant only.
+        Whatever the plan, ``required`` is left to ship and ``spare`` is carried, so netting
+        changes the cost by a constant only.
         """
         return replay(with_initial(self.cells, self.initial)).select(
-            "destination_id", "t", "date", F.col("shortage").alias("required")
+            "destination_id",
+            "t",
+            "date",
+            F.col("shortage").alias("required"),
+            F.col("inventory").alias("spare"),
         )
 
+    def within(self, ids: DataFrame) -> Demand:
+        """The same demand, of the destinations in ``ids`` only."""
+        cells = self.cells.join(ids.select("destination_id"), "destination_id", "left_semi")
+        return Demand(cells, self.initial)
+
 
 @dataclass(frozen=True)
 class Plan:
-    """A shipment plan: ``flows`` (origin_id, destination_id, period, flow)."""
+    """A shipment plan: ``flows`` (origin_id, destination_id, period, flow).
+
+    ``lower_bound`` is set where a part was priced: no plan can cost less. Without it the
+    plan is optimal. ``unmet`` (destination_id, t, short) is demand that could not be placed,
+    ``tiers`` counts the connected parts planned each way.
+    """
 
     demand: Demand
     flows: DataFrame
