@@ -543,12 +543,13 @@ oracle(
     plan_overload="""
         SELECT origin_id, period, shipped, shipped - cap AS excess
         FROM tight_load WHERE shipped > cap + 1e-6""",
-    plan_violations_tight="""
+    plan_violations="""
         SELECT 'capacity' AS rule, origin_id AS key, period, shipped - cap AS detail
         FROM tight_load WHERE shipped > cap + 1e-6""",
     plan_batch_shipped=f"""
         SELECT destination_id, {r("sum(demand)", 3)} AS shipped
         FROM months JOIN regional_ids USING (destination_id) GROUP BY 1""",
+    plan_priced_check="SELECT 0::BIGINT AS violations, 0::BIGINT AS unmet, TRUE AS bounded",
     plan_batch_violations="SELECT 0::BIGINT AS violations",
     plan_end_to_end=f"""
         SELECT origin_id, destination_id, date AS period, {r("demand", 6)} AS flow

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowplan.config import METRICS, ForecastConfig, ScenarioConfig
+from flowplan.functions.columns import one_row
 from flowplan.operators import evaluation, panel, quality
 from flowplan.operators.allocation import allocate
 from flowplan.operators.arima import arima
@@ -22,8 +23,7 @@ from flowplan.operators.models import (
 )
 from flowplan.operators.selection import score, select_best
 from flowplan.operators.smoothing import ets, ets_grid
-from flowplan.plans import scenarios
-from flowplan.plans.check import plan_violations
+from flowplan.plans import check, scenarios
 from flowplan.plans.forecast import ForecastRun, default_registry, run_forecast
 from flowplan.plans.netting import Demand, demand_of
 from flowplan.plans.planner import optimize
@@ -612,9 +612,9 @@ def plan_overload(net):
 
 
 @query
-def plan_violations_tight(net):
+def plan_violations(net):
     plan = slack_plan(demand_of(months(net)), net.lanes(), net.destinations())
-    return plan_violations(
+    return check.plan_violations(
         plan.demand, plan.flows, plan.inventory(), net.origins_tight(), plan.cost()
     )
 
@@ -641,7 +641,7 @@ def plan_batch_shipped(net):
 @query
 def plan_batch_violations(net):
     plan = regional_plan(net)
-    found = plan_violations(
+    found = check.plan_violations(
         plan.demand, plan.flows, plan.inventory(), net.origins_regional(), plan.cost()
     )
     return found.agg(F.count(F.lit(1)).alias("violations"))
@@ -654,6 +654,21 @@ def plan_priced(net):
     return priced_plan(demand, origins, net.lanes(), net.destinations()).flows
 
 
+@query
+def plan_priced_check(net):
+    """Violations and unmet cells of the priced plan, and whether its bound lies below its cost."""
+    origins = cut_lineage(net.origins_tight())
+    demand = Demand(cut_lineage(demand_of(net.demand_month()).cells), initial_stock(net))
+    plan = priced_plan(demand, origins, net.lanes(), net.destinations())
+    cost = plan.cost()
+    found = check.plan_violations(demand, plan.flows, plan.inventory(), origins, cost)
+    return one_row(
+        found.agg(F.count(F.lit(1)).alias("violations")),
+        plan.unmet.agg(F.count(F.lit(1)).alias("unmet")),
+        cost.select((F.col("total_cost") >= plan.lower_bound).alias("bounded")),
+    )
+
+
 @query
 def plan_end_to_end(net):
     signal = run_forecast(months(net), baselines()).signal("zero")
