@@ -193,7 +193,13 @@ def plan_report(
         parts.append(negative_initial_inventory(initial))
     if limit is not None:
         parts.append(too_many_variables(signal, lanes, periods, limit))
-    return union([*parts, unreachable(signal, lanes), capacity_short(signal, origins, periods)])
+    parts += [
+        unreachable(signal, lanes),
+        capacity_short(signal, origins, periods),
+        conflicting_keys(lanes, ["origin_id", "destination_id"], "unit_cost", "lanes"),
+        conflicting_keys(origins, ["origin_id"], "daily_capacity", "origins"),
+    ]
+    return union(parts)
 
 
 def union(parts: Iterable[DataFrame]) -> DataFrame:

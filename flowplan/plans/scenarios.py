@@ -15,7 +15,7 @@ from flowplan.operators.allocation import allocate
 from flowplan.operators.models import Registry, lag_one_panel
 from flowplan.operators.quality import MAX_VARIABLES, union
 from flowplan.plans.forecast import ForecastRun, run_forecast
-from flowplan.plans.planner import optimize, require_complete
+from flowplan.plans.planner import optimize
 from flowplan.session import cut_lineage
 
 # Fixed order: forecast strategy, then plan strategy.
@@ -71,9 +71,7 @@ def run_scenario(
         planned = plan.kpis(demand, lanes)
         kpis = cut_lineage(plan.realized(demand, lanes, destinations))
     else:
-        solved = require_complete(
-            optimize(signal, origins, lanes, destinations, max_variables=max_variables)
-        )
+        solved = optimize(signal, origins, lanes, destinations, max_variables=max_variables)
         flows, inventory = solved.flows, solved.inventory()
         kpis = cut_lineage(evaluation.realized(flows, demand, lanes, destinations))
         service = evaluation.grand_total(kpis).select(
