@@ -18,6 +18,8 @@ NAME = "ets_forecaster"
 KINDS = ("add", "mul", None)
 # Numbers held per block of series while fitting (32 MB).
 BLOCK = 4_000_000
+# Smallest smoothing weight.
+LEAST = 1e-4
 
 
 def ets(
@@ -73,27 +75,43 @@ def _unfit(y: np.ndarray, trend: str | None, seasonal: str | None, period: int)
 
 
 def _fit_block(trains, steps, candidates, trend, seasonal, period):
-    """Search the weights for the least squared one-step error, finer around the best each round."""
+    """Search the weights for the least squared one-step error, then extrapolate.
+
+    A coarse grid gives the best point of each third of the slowest-changing weight; finer
+    grids then close in on all three, since the error can have several valleys.
+    """
     length = max(map(len, trains))
     offset = np.array([length - len(y) for y in trains])
     # Series end together; shorter ones wait until their first observation.
     values = np.stack([np.r_[np.zeros(o), y] for o, y in zip(offset, trains)], axis=1)
     evaluate = _general if "mul" in (trend, seasonal) else _additive
-    centre = np.full((len(trains), candidates.shape[1]), 0.5)
-    points = len(np.unique(candidates[:, 0]))
-    reach, least, end = 0.49, np.full(len(trains), np.inf), None
-    for _ in range(5 if points > 5 else 8):
-        weights = np.clip(centre[:, None] + candidates * reach, 1e-4, 0.9999)
+    width = candidates.shape[1]
+
+    def tried(weights):
         sse, ends = evaluate(values, offset, weights, trend, seasonal, period)
-        sse = np.where(np.isfinite(sse), sse, np.inf)
-        pick = (np.arange(len(trains)), sse.argmin(axis=1))
+        return np.where(np.isfinite(sse), sse, np.inf), ends
+
+    third = np.digitize(candidates[:, 1 if trend else 0], (-0.34, 0.34))
+    each = np.arange(len(trains))
+    coarse = np.clip(0.5 + 0.49 * candidates, LEAST, 1.0 - LEAST)
+    sse, ends = tried(np.broadcast_to(coarse, (len(trains), *coarse.shape)))
+    first = [np.where(third == k, sse, np.inf).argmin(axis=1) for k in range(3)]
+    centre = np.stack([coarse[i] for i in first], axis=1)
+    least = np.stack([sse[each, i] for i in first], axis=1)
+    end = np.stack([ends[each, i] for i in first], axis=1)
+    steps_around = np.array(list(product((-1.0, 0.0, 1.0), repeat=width)))
+    reach = 0.49 / (len(np.unique(candidates[:, 0])) - 1)
+    for _ in range(7):
+        weights = np.clip(centre[:, :, None] + reach * steps_around, LEAST, 1.0 - LEAST)
+        sse, ends = tried(weights.reshape(len(trains), -1, width))
+        sse = sse.reshape(*weights.shape[:3])
+        ends = ends.reshape(*weights.shape[:3], -1)
+        pick = (*np.indices(least.shape), sse.argmin(axis=2))
         better = sse[pick] < least
-        if end is None:
-            end = ends[pick]
-        end[better] = ends[pick][better]
+        centre[better], end[better] = weights[pick][better], ends[pick][better]
         least = np.where(better, sse[pick], least)
-        centre[better] = weights[pick][better]
-        reach *= 2.0 / (points - 1)
+        reach *= 0.45
+    end = end[each, least.argmin(axis=1)]
     for state, count in zip(end, steps):
         ahead = np.arange(1, count + 1)
         at = 1 + (trend is not None)
