@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowplan.llm import exact_dedup
+from flowplan.llm import exact_dedup, token_output
 
 QUERIES = {}
 
@@ -21,3 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_output(spark, table(spark, sf_dir, "documents"))
