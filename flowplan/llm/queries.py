@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowplan.llm import exact_dedup, token_output
+from flowplan.llm import exact_dedup, substring_dedup, token_output
 
 QUERIES = {}
 
@@ -26,3 +26,8 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove_repeated_windows(table(spark, sf_dir, "documents")))
