@@ -60,17 +60,27 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Pieces:
-    """Super-k-mers of a batch: first and last window (positions in the batch), minimiser, document."""
+    """Super-k-mers of a batch: first and last window (positions in the batch), minimiser, document.
+
+    ``again``: the minimiser stands more than once in the string, so two of its own windows may be equal.
+    """
 
     first: np.ndarray
     last: np.ndarray
     minimiser: np.ndarray
     doc: np.ndarray
+    again: np.ndarray
 
 
 def pieces(values: np.ndarray, lengths: np.ndarray, window: int, gram: int) -> Pieces:
     """The super-k-mers of documents whose symbol hashes lie one after another in ``values``."""
-    least = sliding_min(rolling(values, gram), window - gram + 1)
+    # The upper half of a gram's hash with its place in the lower half: the leftmost of the least is
+    # the minimiser; with places counted from the end it is the rightmost.
+    grams, low32 = rolling(values, gram), np.uint64((1 << 32) - 1)
+    place = np.arange(len(grams), dtype=np.uint64)
+    left = sliding_min((grams & ~low32) | place, window - gram + 1) & low32
+    right = low32 - (sliding_min((grams & ~low32) | (low32 - place), window - gram + 1) & low32)
+    least = grams[left.astype(np.int64)]
     ends = np.cumsum(lengths)
     starts = ends - lengths
     n = np.maximum(lengths - window + 1, 0)
@@ -82,7 +92,9 @@ def pieces(values: np.ndarray, lengths: np.ndarray, window: int, gram: int) -> P
     new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
     head = np.flatnonzero(new)
     tail = np.append(head[1:], total) - 1
-    return Pieces(at[head], at[tail] if total else at[:0], low[head], doc[head])
+    if not total:
+        return Pieces(at, at, low, doc, new)
+    return Pieces(at[head], at[tail], low[head], doc[head], left[at[head]] != right[at[tail]])
 
 
 def first_equal(strings: list[bytes]) -> np.ndarray:
