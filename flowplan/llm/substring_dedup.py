@@ -15,8 +15,8 @@ from flowplan.llm import superkmer
 from flowplan.llm.common import WordHasher, mix, slices, texts_of
 
 WINDOW = 50
-GRAM = 8
-BUCKET_BYTES = 24 << 20
+GRAM = 5
+BUCKET_BYTES = 16 << 20
 RESULT = "doc_id long, n_words long, n_removed long, n_spans long, kept string"
 
 
@@ -56,8 +56,8 @@ def _first_in_bucket(ids: np.ndarray, starts: np.ndarray, window: int) -> np.nda
 
 def _cut(buckets: int, window: int, gram: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in slices(batches, "text"):
+        hasher = WordHasher(150_000)
+        for batch in slices(batches, "text", 4 << 20):
             texts = texts_of(batch.column("text"))
             key, tag = keys_of(batch, texts)
             lists = [t.split() for t in texts]

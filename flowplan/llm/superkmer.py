@@ -105,7 +105,7 @@ def first_equal(strings: list[bytes]) -> np.ndarray:
 
 def pack(bucket: np.ndarray, minimiser, key, tag, at, size, strings: list[bytes], glue: bytes) -> Iterator[pa.RecordBatch]:
     """One row for each bucket of a batch."""
-    press = zstandard.ZstdCompressor(level=1).compress
+    press = zstandard.ZstdCompressor(level=3).compress
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     rows = [[] for _ in _NAMES]
