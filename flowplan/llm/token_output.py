@@ -7,8 +7,10 @@ commit keeps shards whole when tasks are retried, on any store Spark can write t
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,21 @@ SHARDS = "part int, seq int, n_docs long, n_shard_tokens long, data binary"
 _READ = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
+#: A mark that ends a word and is cut off alone by a byte-level tokenizer.
+_MARKS = (".", ",", "!", "?", ";", ":")
+
+
+#: A space before white space or the end: the tokenizer may join it with what stands before it.
+_UNSURE = re.compile(r" (?=\s|\Z)")
+
+
+def _byte_symbols() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class CachedTokenizer:
     """Ids of whole texts from the tokenizers library.
 
@@ -37,53 +54,93 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model, self.symbols, self.runs = self.tokenizer.model, _byte_symbols(), {}
         self.pieces: dict[str, int] = {}
         self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+    def _parts(self, piece: str) -> list[str] | None:
+        """``piece`` cut into letter runs, line ends and closing marks as the tokenizer cuts it, or None.
+
+        Only for shapes where the cut is certain: runs of letters, each perhaps led by the piece's
+        space and followed by one mark, between single line ends.
+        """
         out = []
-        for at in range(0, len(texts), 20_000):
-            out += [e.ids for e in encode(texts[at : at + 20_000], add_special_tokens=False)]
+        for i, line in enumerate(piece.split("\n")):
+            if i:
+                out.append("\n")
+            word = line[1:] if not i and line[:1] == " " else line
+            if word[-1:] in _MARKS and len(word) > 1:
+                word, mark = word[:-1], [line[-1]]
+                line = line[:-1]
+            else:
+                mark = []
+            if not (word.isalpha() and max(word) < "\u0250"):
+                return None
+            out += [line, *mark]
         return out
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and how many each text has."""
-        flat: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
+    def _encode(self, pieces: list) -> list[list[int]]:
+        """Ids of new pieces: by the tokenizer's model for known letter runs, else by the whole tokenizer."""
+        out, whole, runs, tokenize = [None] * len(pieces), [], self.runs, self.model.tokenize
+        for i, piece in enumerate(pieces):
+            text = piece[0] if type(piece) is tuple else " " + piece
             if not text:
+                out[i] = []
                 continue
-            words = text.split(" ")
-            first = words[0]
-            if len(words) > 1 and (not all(words[1:]) or any(w[0].isspace() for w in words[1:])):
-                flat.append(text)
-                counts[i] = 1
+            parts = self._parts(text)
+            if parts is None:
+                whole.append((i, text))
                 continue
-            if first:
-                flat.append(first)
-            flat += [" " + w for w in words[1:]]
-            counts[i] = len(words) - (not first)
-        if len(self.pieces) > self.limit:
-            self.pieces, self.ids = {}, self.ids[:0]
-            self.starts, self.sizes = self.starts[:0], self.sizes[:0]
-        known = self.pieces
-        new = [p for p in set(flat) if p not in known]
+            ids = []
+            for part in parts:
+                known = runs.get(part)
+                if known is None:
+                    known = [t.id for t in tokenize(part.encode().decode("latin-1").translate(self.symbols))]
+                    if len(runs) < self.limit:
+                        runs[part] = known
+                ids += known
+            out[i] = ids
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        for at in range(0, len(whole), 20_000):
+            block = whole[at : at + 20_000]
+            for (i, _), e in zip(block, encode([t for _, t in block], add_special_tokens=False), strict=True):
+                out[i] = e.ids
+        return out
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each text has.
+
+        A piece is a word with the space before it; what no space leads is held as a tuple.
+        """
+        whole = [bool(_UNSURE.search(t)) for t in texts]
+        lists = pa.compute.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole, strict=True)], pa.large_string()), " ")
+        heads = np.asarray(lists.offsets)[:-1].astype(np.int64)
+        coded = lists.values.dictionary_encode()
+        words, code = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+        first = [(t if w else words[c],) for t, w, c in zip(texts, whole, code[heads].tolist(), strict=True)]
+        known, at, old = self.pieces, len(self.ids), len(self.starts)
+        new = list({p: None for p in chain(words, first) if p not in known})
         if new:
             encoded = self._encode(new)
             sizes = np.fromiter(map(len, encoded), np.int64, len(new))
-            at = len(self.ids)
-            known.update(zip(new, range(len(self.starts), len(self.starts) + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, np.fromiter((x for e in encoded for x in e), np.int32, int(sizes.sum()))])
+            known.update(zip(new, range(old, old + len(new)), strict=True))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))])
             self.starts = np.concatenate([self.starts, at + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-        index = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        index = np.fromiter(map(known.__getitem__, words), np.int64, len(words))[code]
+        index[heads] = np.fromiter(map(known.__getitem__, first), np.int64, len(first))
+        counts = np.diff(np.append(heads, len(index)))
         sizes = self.sizes[index]
         ends = np.cumsum(sizes)
         gather = np.repeat(self.starts[index] - (ends - sizes), sizes)
         gather += np.arange(len(gather))
         edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return self.ids[gather], np.diff(edges)
+        found = self.ids[gather]
+        if len(known) > self.limit:  # full: forget this batch's
+            for piece in new:
+                del known[piece]
+            self.ids, self.starts, self.sizes = self.ids[:at], self.starts[:old], self.sizes[:old]
+        return found, np.diff(edges)
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
