@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowplan.llm import exact_dedup, ngram_join, substring_dedup, suffix_dedup, token_output
+from flowplan.llm import exact_dedup, html_text, ngram_join, substring_dedup, suffix_dedup, token_output
 
 QUERIES = {}
 
@@ -41,3 +41,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
