@@ -13,4 +13,24 @@ ORACLES = {
                h AS text_sha256
         FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
     """,
+    "op5_decontamination": r"""
+        WITH i AS (
+            SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+        d AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        g AS (
+            SELECT DISTINCT item_id, least(5, len(w)) AS k,
+                   array_to_string(w[p : p + least(5, len(w)) - 1], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)),
+        n AS (SELECT item_id, count(*) AS n_item FROM g GROUP BY 1),
+        h AS (
+            SELECT DISTINCT doc_id, k, array_to_string(w[p : p + k - 1], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p
+                  FROM d, (SELECT DISTINCT k FROM g) WHERE len(w) >= k)),
+        m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM h JOIN g USING (k, s) GROUP BY 1, 2)
+        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+        FROM m JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
+    """,
 }

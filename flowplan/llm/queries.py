@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowplan.llm import exact_dedup, html_text, ngram_join, quality, substring_dedup, suffix_dedup, token_output
+from flowplan.llm import decontamination, exact_dedup, html_text, ngram_join, quality, substring_dedup, suffix_dedup, token_output
 
 QUERIES = {}
 
@@ -51,3 +51,8 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
