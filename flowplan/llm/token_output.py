@@ -27,10 +27,10 @@ SHARDS = "part int, seq int, n_docs long, n_shard_tokens long, data binary"
 _READ = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
-#: A mark that ends a word and is cut off alone by a byte-level tokenizer.
-_MARKS = (".", ",", "!", "?", ";", ":")
-
-
+#: Letters, a mark, and perhaps a line end and the same again: a byte-level tokenizer cuts such a
+#: piece into these groups, whatever they hold.
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+_SHAPE = re.compile(f"( ?{_LETTERS})([.,!?;:]?)(?:(\n)({_LETTERS})([.,!?;:]?))?")
 #: A space before white space or the end: the tokenizer may join it with what stands before it.
 _UNSURE = re.compile(r" (?=\s|\Z)")
 
@@ -50,7 +50,7 @@ class CachedTokenizer:
     once and kept. A text with any other space is encoded whole.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -58,27 +58,6 @@ class CachedTokenizer:
         self.pieces: dict[str, int] = {}
         self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _parts(self, piece: str) -> list[str] | None:
-        """``piece`` cut into letter runs, line ends and closing marks as the tokenizer cuts it, or None.
-
-        Only for shapes where the cut is certain: runs of letters, each perhaps led by the piece's
-        space and followed by one mark, between single line ends.
-        """
-        out = []
-        for i, line in enumerate(piece.split("\n")):
-            if i:
-                out.append("\n")
-            word = line[1:] if not i and line[:1] == " " else line
-            if word[-1:] in _MARKS and len(word) > 1:
-                word, mark = word[:-1], [line[-1]]
-                line = line[:-1]
-            else:
-                mark = []
-            if not (word.isalpha() and max(word) < "\u0250"):
-                return None
-            out += [line, *mark]
-        return out
-
     def _encode(self, pieces: list) -> list[list[int]]:
         """Ids of new pieces: by the tokenizer's model for known letter runs, else by the whole tokenizer."""
         out, whole, runs, tokenize = [None] * len(pieces), [], self.runs, self.model.tokenize
@@ -87,16 +66,18 @@ class CachedTokenizer:
             if not text:
                 out[i] = []
                 continue
-            parts = self._parts(text)
-            if parts is None:
+            shape = _SHAPE.fullmatch(text)
+            if shape is None:
                 whole.append((i, text))
                 continue
             ids = []
-            for part in parts:
+            for part in shape.groups():
+                if not part:
+                    continue
                 known = runs.get(part)
                 if known is None:
-                    known = [t.id for t in tokenize(part.encode().decode("latin-1").translate(self.symbols))]
-                    if len(runs) < self.limit:
+                    known = tuple([t.id for t in tokenize(part.encode().decode("latin-1").translate(self.symbols))])
+                    if len(runs) < 2 * self.limit:
                         runs[part] = known
                 ids += known
             out[i] = ids
