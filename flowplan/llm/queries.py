@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowplan.llm import decontamination, exact_dedup, html_text, mixing, ngram_join, quality, substring_dedup, suffix_dedup, token_output
+from flowplan.llm import decontamination, exact_dedup, html_text, mixing, ngram_join, ppm, quality, substring_dedup, suffix_dedup, token_output
 
 QUERIES = {}
 
@@ -61,3 +61,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(table(spark, sf_dir, "documents"))
