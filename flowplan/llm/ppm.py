@@ -1,11 +1,14 @@
 """Code lengths of documents by prediction by partial matching over bytes.
 
-A token's bytes and its closing space are predicted in turn. The contexts of a byte are the whole
-token so far, a path in a trie of all training tokens, then the last two bytes, the last one, none,
-and at last a uniform guess; a token that ends a document is coded as a line end. From each context
+The longest context is the bytes of the three tokens before: what followed them in other places of
+the training rows predicts a token as a whole. After an escape a token's bytes and its closing space
+are predicted in turn. The contexts of a byte are the whole token so far, a path in a trie of all
+training tokens, then the last two bytes, the last one, none, and at last a uniform guess; a token
+that ends a document is coded as a line end. From each context
 the coder escapes to the next with a chance estimated from how many symbols the context has shown
 (half a count of each symbol goes to the escape), and symbols of a context that was left are excluded
-below it. The shorter contexts count each edge of the trie once, as an update-excluding coder would.
+below it. In the longest context the escape is estimated from the followers seen once, and a training
+row's own occurrence does not count for itself. The shorter contexts count each edge of the trie once, as an update-excluding coder would.
 
 The corpus is gathered by Spark: batches of documents keep their words as indices into a dictionary
 of the batch, dictionaries are dealt by the first three bytes of a word, so that deeper trie nodes are
@@ -25,7 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowplan.llm.common import slices, written
+from xxhash import xxh32_intdigest
+
+from flowplan.llm.common import mix, slices, written
 
 END = b"\n"
 SPACE = 32
@@ -33,12 +38,19 @@ SHARD_BYTES = 8 << 20
 _BATCHES = "batch long, shard int, words binary, train binary, pos binary, docs binary"
 _WORDS = "shard int, words binary, counts binary, total long, distinct long"
 _BACK = "batch long, pos binary, counts binary, logs binary"
+_DEALT = "batch long, shard int, key binary, train binary, pos binary"
+_FOUND = "batch long, pos binary, counts binary, logs binary"
+#: Tokens before a token that make its longest context.
+REACH = 3
+#: Escape from the longest context: the share of followers seen once, and at least so much by count.
+ONCE, LEAST, MOST = 0.7, 0.15, 0.95
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def tokens(array: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts in a row, each text closed by END; and how many tokens each text has."""
-    texts = pa.compute.fill_null(array.cast(pa.large_string()), "")
+    # A copy without offset: kernels that join and split strings go wrong on slices.
+    texts = pa.compute.fill_null(array.take(pa.array(np.arange(len(array)))).cast(pa.large_string()), "")
     texts = pa.compute.binary_join_element_wise(pa.compute.ascii_lower(texts), pa.scalar("\n\x00E\n", pa.large_string()), pa.scalar("", pa.large_string()))
     lists = pa.compute.ascii_split_whitespace(texts)
     flat = lists.flatten()
@@ -70,7 +82,8 @@ def _batches(shards: int):
             ids = batch.column("doc_id")
             docs = [np.asarray(ids.fill_null(0)), np.asarray(ids.is_valid()).astype(np.int64), held.astype(np.int64), counts]
             body = np.stack(docs).astype(np.int64).tobytes()
-            packed = len(body).to_bytes(8, "little") + body + press(index.tobytes())
+            hashes = np.fromiter((xxh32_intdigest(w) for w in names), np.uint32, len(names)).tobytes()
+            packed = b"".join(len(x).to_bytes(8, "little") + x for x in (body, hashes, press(index.tobytes())))
             number, shard = part << 32 | at, _shard_of(names, shards)
             out = [[number], [-1], [None], [None], [None], [packed]]
             order = np.argsort(shard, kind="stable")
@@ -311,20 +324,102 @@ def _back(model: Model):
     return back
 
 
+def _open(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The documents of a batch (ids, which are known, held out, tokens), word hashes, token indices."""
+    parts, at = [], 0
+    for _ in range(3):
+        size = int.from_bytes(packed[at : at + 8], "little")
+        parts.append(packed[at + 8 : at + 8 + size])
+        at += 8 + size
+    return np.frombuffer(parts[0], np.int64).reshape(4, -1), np.frombuffer(parts[1], np.uint32), _unpack(parts[2], np.int32)
+
+
+def _deal(shards: int):
+    """Every token that has REACH tokens before it, to the shard of their hash."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for number, packed in zip(batch.column("batch").to_pylist(), batch.column("docs").to_pylist(), strict=True):
+                (_, _, held, n), hashes, index = _open(packed)
+                word = hashes[index].astype(np.uint64)
+                offset = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+                at = np.flatnonzero(offset >= REACH)
+                if not len(at):
+                    continue
+                context = np.zeros(len(at), np.uint64)
+                for k in range(REACH, 0, -1):
+                    context = mix(context * np.uint64(0x9E3779B97F4A7C15) + word[at - k] + np.uint64(1))
+                shard = ((context >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+                key = (context << np.uint64(32)) | word[at]
+                train = np.repeat(held == 0, n)[at]
+                order = np.argsort(shard, kind="stable")
+                out = [[], [], [], [], []]
+                for mine in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+                    gaps = press(np.diff(at[mine], prepend=0).astype(np.uint32).tobytes())
+                    row = (number, int(shard[mine[0]]), key[mine].tobytes(), np.packbits(train[mine]).tobytes(), gaps)
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+                types = [pa.int64(), pa.int32(), *[pa.binary()] * 3]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, t) for v, t in zip(out, types, strict=True)], names=["batch", "shard", "key", "train", "pos"]
+                )
+
+    return deal
+
+
+def _follow(table: pa.Table) -> pa.Table:
+    """Per token of a shard: below zero its log10 probability after its context, above zero the cost of the escape, or zero."""
+    keys = [np.frombuffer(x, np.uint64) for x in table.column("key").to_pylist()]
+    train = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(table.column("train").to_pylist(), keys, strict=True)])
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    pair = np.cumsum(new) - 1
+    context_of = ranked[new] >> np.uint64(32)
+    context_new = np.ones(len(context_of), bool)
+    context_new[1:] = context_of[1:] != context_of[:-1]
+    context = np.cumsum(context_new) - 1
+    mine = train[order].astype(np.int64)
+    n = np.bincount(pair, weights=mine).astype(np.int64)
+    total = np.bincount(context, weights=n).astype(np.int64)
+    once = np.bincount(context, weights=n == 1).astype(np.int64)
+    place = context[pair]
+    n_here = n[pair]
+    others, total_here = n_here - mine, total[place] - mine
+    once_here = once[place] - mine * (n_here == 1) + mine * (n_here == 2)
+    value = np.zeros(len(key))
+    seen = total_here > 0
+    escape = np.zeros(len(key))
+    escape[seen] = np.minimum(MOST, np.maximum(LEAST, ONCE * once_here[seen]) / total_here[seen])
+    hit = seen & (others > 0)
+    value[hit] = np.log10((1 - escape[hit]) * others[hit] / total_here[hit])
+    miss = seen & (others == 0)
+    value[miss] = -np.log10(escape[miss])
+    back = np.empty(len(key))
+    back[order] = value
+    press = zstandard.ZstdCompressor(level=1).compress
+    logs = [press(x.astype(np.float32).tobytes()) for x in np.split(back, np.cumsum([len(k) for k in keys])[:-1])]
+    columns = [table.column("batch"), table.column("pos"), pa.nulls(len(keys), pa.binary()), pa.array(logs, pa.binary())]
+    return pa.table(columns, names=["batch", "pos", "counts", "logs"])
+
+
 def _sum_documents(total: int, distinct: int):
     def sums(left: pa.Table, right: pa.Table) -> pa.Table:
-        packed = left.column("docs")[0].as_py()
-        size = int.from_bytes(packed[:8], "little")
-        doc_ids, known, held, n = np.frombuffer(packed[8 : 8 + size], np.int64).reshape(4, -1)
-        index = _unpack(packed[8 + size :], np.int32)
-        pos = [np.frombuffer(x, np.int32) for x in right.column("pos").to_pylist()]
-        width = sum(map(len, pos))
-        counts, logs = np.zeros(width, np.int64), np.zeros(width)
-        for p, c, x in zip(pos, right.column("counts").to_pylist(), right.column("logs").to_pylist(), strict=True):
-            counts[p], logs[p] = _unpack(c), _unpack(x, np.float64)
-        base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
+        (doc_ids, known, held, n), hashes, index = _open(left.column("docs")[0].as_py())
+        counts, logs, after = np.zeros(len(hashes), np.int64), np.zeros(len(hashes)), np.zeros(len(index))
+        for p, c, x in zip(*(right.column(k).to_pylist() for k in ("pos", "counts", "logs")), strict=True):
+            if c is None:
+                after[np.cumsum(_unpack(p, np.uint32), dtype=np.int64)] = _unpack(x, np.float32)
+            else:
+                at = np.frombuffer(p, np.int32)
+                counts[at], logs[at] = _unpack(c), _unpack(x, np.float64)
+        base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))[index]
+        score = np.where(after < 0, after, logs[index] - after)
         starts = np.cumsum(n) - n
-        per_doc = [np.add.reduceat(x[index], starts) if len(n) else x[:0] for x in ((counts > 0).astype(np.int64), base, logs)]
+        per_doc = [np.add.reduceat(x, starts) if len(n) else x[:0] for x in ((counts > 0).astype(np.int64)[index], base, score)]
         values = [pa.array(doc_ids, mask=known == 0), pa.array(held == 1), pa.array(n), *[pa.array(x) for x in per_doc]]
         return pa.table(values, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
@@ -342,7 +437,8 @@ def score_documents(documents: DataFrame) -> DataFrame:
     held = F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False)).alias("held_out")
     rows = documents.select(doc_id, held, text)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = written(rows.mapInArrow(_batches(max(1, -(-size // SHARD_BYTES))), _BATCHES), "word-batches")
+    shards = max(1, -(-size // SHARD_BYTES))
+    batches = written(rows.mapInArrow(_batches(shards), _BATCHES), "word-batches")
     dealt = batches.where("shard >= 0").select("shard", "batch", "words", "train", "pos")
     words = written(dealt.select("shard", "words", "train").groupBy("shard").applyInArrow(_sum_words, _WORDS), "words")
     total, distinct = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
@@ -352,5 +448,6 @@ def score_documents(documents: DataFrame) -> DataFrame:
     model = Model(*[(t.key.to_numpy(np.int64), t.n.to_numpy(np.int64)) for t in tables])
     back = dealt.groupBy("shard").cogroup(words.groupBy("shard")).applyInArrow(_back(model), _BACK)
     main = batches.where("shard < 0").select("batch", "docs")
-    scores = main.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(_sum_documents(total, distinct), _SCORES)
+    after = main.mapInArrow(_deal(shards), _DEALT).groupBy("shard").applyInArrow(_follow, _FOUND)
+    scores = main.groupBy("batch").cogroup(back.unionByName(after).groupBy("batch")).applyInArrow(_sum_documents(total, distinct), _SCORES)
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
