@@ -6,7 +6,7 @@ set it can link to nothing, whatever the other half holds. Equal sets are one cl
 Each remaining class is compared with the most central class of its min-hash buckets, and the links
 found give groups. Then a class takes part only while three quarters of its shingles are shared
 with other groups, and pairs of different groups are counted per fragment and summed. A fragment
-leaves out a pair only when what differs there and what is unshared elsewhere already exclude a link,
+leaves out a pair only when what differs there and the histograms of the rest already exclude a link,
 so no link between groups is lost, and pairs inside a group are never listed.
 """
 
@@ -27,6 +27,8 @@ WIDTH = 5
 #: Shingles in a fragment, about.
 FRAGMENT = 1 << 21
 BANDS = 4
+#: Ranges of the order in the histograms that bound what two sets differ in.
+BINS = 256
 NO_ID = (1 << 63) - 1
 _SPREAD = "fragment int, batch long, owner binary, sizes binary, hashes binary, marks binary, docs binary"
 _SPREAD_NAMES = ["fragment", "batch", "owner", "sizes", "hashes", "marks", "docs"]
@@ -273,11 +275,35 @@ def _linked(partial: DataFrame, percent: int) -> DataFrame:
     return whole.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def _between_groups(percent: int):
+def _with_histogram(fragments: int):
+    """Cut sets into fragments; each part carries the histogram of the whole set over BINS ranges of the order."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.asarray([(1 << 64) * k // BINS for k in range(1, BINS)], np.uint64)
+        for batch in slices(batches, "tokens", 4 << 20):
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
+            at = [np.concatenate([[0], np.searchsorted(t, edges), [len(t)]]) for t in sets]
+            histograms = pa.array([np.diff(x).astype(np.int32).tobytes() for x in at], pa.binary())
+            step = BINS // fragments
+            for f in range(fragments):
+                parts = [t[x[f * step] : x[(f + 1) * step]].tobytes() for t, x in zip(sets, at, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(batch.num_rows, f, np.int32)), *(batch.column(c) for c in ("hi", "n", "label")), histograms, pa.array(parts, pa.binary())],
+                    names=["fragment", "hi", "n", "label", "histogram", "tokens"],
+                )
+
+    return cut
+
+
+def _between_groups(percent: int, fragments: int):
     def pairs(table: pa.Table) -> pa.Table:
-        hi, n, unshared, label = (np.asarray(table.column(c)) for c in ("hi", "n", "unshared", "label"))
+        hi, n, label = (np.asarray(table.column(c)) for c in ("hi", "n", "label"))
+        step, f = BINS // fragments, table.column("fragment")[0].as_py()
+        rest = np.stack([np.frombuffer(x, np.int32) for x in table.column("histogram").to_pylist()])
+        rest = np.delete(rest, np.s_[f * step : (f + 1) * step], axis=1)
         sets = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
-        place = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        size = np.fromiter(map(len, sets), np.int64, len(sets))
+        place = np.repeat(np.arange(len(sets)), size)
         tokens = np.concatenate(sets)
         _, token = np.unique(tokens, return_inverse=True)
         total = int(token.max()) + 1 if len(token) else 0
@@ -286,7 +312,6 @@ def _between_groups(percent: int):
         np.maximum.at(high, token, label[place])
         shared = (low < high)[token]
         token, place = token[shared], place[shared]
-        size = np.bincount(place, minlength=len(sets))
         by_token = np.argsort(token, kind="stable")
         posting = place[by_token]
         starts = np.searchsorted(token[by_token], np.arange(total + 1))
@@ -300,12 +325,16 @@ def _between_groups(percent: int):
             ends = np.cumsum(length)
             near = posting[np.repeat(a - (ends - length), length) + np.arange(int(ends[-1]))]
             y, common = np.unique(near[near > x], return_counts=True)
-            both = n[x] + n[y]
-            apart = unshared[x] + unshared[y] + size[x] + size[y] - 2 * common
-            # common / union >= p / 100 means apart / both <= (100 - p) / (100 + p).
-            keep = (label[y] != label[x]) & ((100 + percent) * apart <= (100 - percent) * both)
-            y = y[keep]
-            for column, value in zip(out, (np.full(len(y), hi[x]), hi[y], np.full(len(y), n[x]), n[y], common[keep]), strict=True):
+            # common / union >= p / 100 means apart / both <= (100 - p) / (100 + p), with what is apart
+            # here counted and what is apart elsewhere at least the difference of the histograms.
+            most = (100 - percent) * (n[x] + n[y])
+            apart = size[x] + size[y] - 2 * common
+            keep = (label[y] != label[x]) & ((100 + percent) * apart <= most)
+            y, common, apart, most = y[keep], common[keep], apart[keep], most[keep]
+            apart = apart + np.abs(rest[y] - rest[x]).sum(1)
+            keep = (100 + percent) * apart <= most
+            y, common = y[keep], common[keep]
+            for column, value in zip(out, (np.full(len(y), hi[x]), hi[y], np.full(len(y), n[x]), n[y], common), strict=True):
                 column.append(value)
         values = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
         return pa.table([pa.array(v) for v in values], names=["a", "b", "na", "nb", "common"])
@@ -358,10 +387,11 @@ def jaccard_components(documents: DataFrame, percent: int = 75, width: int = WID
     grouped = sets.join(labels, sets["hi"] == labels["node"], "left").select(sets["hi"], "n", "tokens", F.coalesce("label", "hi").alias("label"))
     grouped = written(grouped, "grouped")
     left_over = written(grouped.select("hi", "n", "tokens").join(alive(grouped), "hi"), "left-over")
-    cut = left_over.select("hi", "n", "unshared", "label", "tokens").mapInArrow(
-        _cut_sets(fragments), "fragment int, hi long, n long, unshared long, label long, tokens binary"
+    parts = min(BINS, 1 << (fragments - 1).bit_length())
+    cut = left_over.select("hi", "n", "label", "tokens").mapInArrow(
+        _with_histogram(parts), "fragment int, hi long, n long, label long, histogram binary, tokens binary"
     )
-    more = cut.groupBy("fragment").applyInArrow(_between_groups(percent), _PAIRS)
+    more = cut.groupBy("fragment").applyInArrow(_between_groups(percent, parts), _PAIRS)
     links = written(links.union(_linked(more, percent)), "all-links")
     groups = components(links).withColumnRenamed("node", "hi")
     keyed = docs.where("n > 0").join(groups, "hi", "left")
