@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from flowplan.llm import decontamination, exact_dedup, html_text, mixing, ngram_join, ppm, quality, substring_dedup, suffix_dedup, token_output
 
 QUERIES = {}
@@ -66,3 +67,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
