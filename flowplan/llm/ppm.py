@@ -10,8 +10,8 @@ the coder escapes to the next with a chance estimated from how many symbols the
 below it. In the longest context the escape is estimated from the followers seen once, and a training
 row's own occurrence does not count for itself. The shorter contexts count each edge of the trie once, as an update-excluding coder would.
 
-The corpus is gathered by Spark: batches of documents keep their words as indices into a dictionary
-of the batch, dictionaries are dealt by the first three bytes of a word, so that deeper trie nodes are
+The corpus is gathered by Spark: batches of documents keep their words as places in a dictionary of
+the batch, which is made again for each use rather than stored; dictionaries are dealt by the first three bytes of a word, so that deeper trie nodes are
 whole in one shard, and counts and code lengths come back to the batches. Only counts of contexts
 of two bytes and of first three bytes are brought together; there are at most 2**24 of each.
 """
@@ -28,22 +28,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from xxhash import xxh32_intdigest
+from xxhash import xxh3_64_intdigest, xxh32_intdigest
 
 from flowplan.llm.common import mix, slices, written
 
 END = b"\n"
 SPACE = 32
 SHARD_BYTES = 8 << 20
-_BATCHES = "batch long, shard int, words binary, train binary, pos binary, docs binary"
+_WORDS_OF = "batch long, shard int, words binary, train binary"
+_MAIN = "batch long, docs binary"
 _WORDS = "shard int, words binary, counts binary, total long, distinct long"
-_BACK = "batch long, pos binary, counts binary, logs binary"
-_DEALT = "batch long, shard int, key binary, train binary, pos binary"
-_FOUND = "batch long, pos binary, counts binary, logs binary"
+_DEALT = "batch long, shard int, key binary, train binary"
+_BACK = "batch long, kind int, shard int, counts binary, logs binary"
 #: Tokens before a token that make its longest context.
 REACH = 3
 #: Escape from the longest context: the share of followers seen once, and at least so much by count.
 ONCE, LEAST, MOST = 0.7, 0.15, 0.95
+_LOW28 = np.uint64((1 << 28) - 1)
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -70,36 +71,87 @@ def _shard_of(words: list[bytes], shards: int) -> np.ndarray:
     return ((first * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
 
 
-def _batches(shards: int):
-    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, part = zstandard.ZstdCompressor(level=1).compress, TaskContext.get().partitionId()
-        for at, batch in enumerate(slices(rows, "text")):
-            words, counts = tokens(batch.column("text"))
-            coded = words.dictionary_encode()
-            names, index = coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int32)
-            held = np.asarray(batch.column("held_out"))
-            train = np.bincount(index[~np.repeat(held, counts)], minlength=len(names))
-            ids = batch.column("doc_id")
-            docs = [np.asarray(ids.fill_null(0)), np.asarray(ids.is_valid()).astype(np.int64), held.astype(np.int64), counts]
-            body = np.stack(docs).astype(np.int64).tobytes()
-            hashes = np.fromiter((xxh32_intdigest(w) for w in names), np.uint32, len(names)).tobytes()
-            packed = b"".join(len(x).to_bytes(8, "little") + x for x in (body, hashes, press(index.tobytes())))
-            number, shard = part << 32 | at, _shard_of(names, shards)
-            out = [[number], [-1], [None], [None], [None], [packed]]
-            order = np.argsort(shard, kind="stable")
-            for mine in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                row = (
-                    number, int(shard[mine[0]]), press(b" ".join([names[i] for i in mine.tolist()])),
-                    press(train[mine].astype(np.int64).tobytes()), mine.astype(np.int32).tobytes(), None,
-                )
+@dataclass
+class Batch:
+    """Documents of a batch with their tokens as places in its dictionary, ordered by shard and word."""
+
+    number: int
+    docs: np.ndarray
+    names: pa.Array
+    shard: np.ndarray
+    index: np.ndarray
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxh32_intdigest, self.names.to_pylist()), np.uint32, len(self.names)).astype(np.uint64)
+
+
+def _coded(rows: Iterator[pa.RecordBatch], shards: int) -> Iterator[Batch]:
+    """The same batches whenever the same rows come in the same partition; their number is a digest of them."""
+    for batch in slices(rows, "text"):
+        words, counts = tokens(batch.column("text"))
+        coded = words.dictionary_encode()
+        shard = _shard_of(coded.dictionary.to_pylist(), shards)
+        order = pa.compute.sort_indices(pa.table([pa.array(shard), coded.dictionary], names=["s", "w"]), [("s", "ascending"), ("w", "ascending")])
+        order = np.asarray(order).astype(np.int64)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        held, ids = np.asarray(batch.column("held_out")), batch.column("doc_id")
+        docs = np.stack([np.asarray(ids.fill_null(0)), np.asarray(ids.is_valid()), held, counts]).astype(np.int64)
+        index, names = rank[np.asarray(coded.indices)], coded.dictionary.take(pa.array(order))
+        number = xxh3_64_intdigest(docs.tobytes() + index.tobytes(), seed=TaskContext.get().partitionId()) >> 1
+        yield Batch(number, docs, names, shard[order], index)
+
+
+def _parts(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(shard, first, end) of every run in sorted ``shard``."""
+    cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)] if len(shard) else []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield int(shard[a]), a, b
+
+
+def _rows(columns: list[list], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(v, kinds[t]) for v, t in zip(columns, types, strict=True)], names=list(names))
+
+
+def _dictionaries(shards: int):
+    """The words of every batch and shard, with their training counts."""
+
+    def dictionaries(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for x in _coded(rows, shards):
+            train = np.bincount(x.index[np.repeat(x.docs[2] == 0, x.docs[3])], minlength=len(x.names))
+            names, out = x.names.to_pylist(), [[], [], [], []]
+            for shard, a, b in _parts(x.shard):
+                row = (x.number, shard, press(b" ".join(names[a:b])), press(train[a:b].astype(np.int64).tobytes()))
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            types = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out, types, strict=True)], names=["batch", "shard", "words", "train", "pos", "docs"]
-            )
+            yield _rows(out, _WORDS_OF)
+
+    return dictionaries
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, which packs better."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def _from_planes(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _main(shards: int):
+    """The documents, places of tokens and context shards of every batch."""
 
-    return batches
+    def main(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for x in _coded(rows, shards):
+            parts = (x.docs.tobytes(), press(x.shard.astype(np.int32).tobytes()), x.hashes().astype(np.uint32).tobytes(), press(_planes(x.index)))
+            yield _rows([[x.number], [b"".join(len(p).to_bytes(8, "little") + p for p in parts)]], _MAIN)
+
+    return main
 
 
 def _unpack(data: bytes, kind=np.int64) -> np.ndarray:
@@ -310,67 +362,70 @@ class Model:
 
 def _back(model: Model):
     def back(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Counts and code lengths of a shard's words, for each batch in the batch's own positions."""
+        """Counts and code lengths of a shard's words, for each batch in the batch's own order."""
         words, counts = _split(right.column("words")[0].as_py()), _unpack(right.column("counts")[0].as_py())
-        logs, names, press = model.words(words, counts), pa.array(words, pa.large_binary()), zstandard.ZstdCompressor(level=1).compress
-        out = [[], [], [], []]
-        for batch, mine, pos in zip(*(left.column(c).to_pylist() for c in ("batch", "words", "pos")), strict=True):
+        logs, names, press = model.words(words, counts), pa.array(words, pa.large_binary()), zstandard.ZstdCompressor(level=3).compress
+        out = [[], [], [], [], []]
+        for batch, shard, mine in zip(*(left.column(c).to_pylist() for c in ("batch", "shard", "words")), strict=True):
             at = np.asarray(pa.compute.index_in(pa.array(_split(mine), pa.large_binary()), value_set=names))
-            for column, value in zip(out, (batch, pos, press(counts[at].tobytes()), press(logs[at].tobytes())), strict=True):
+            row = (batch, 0, shard, press(_planes(counts[at])), press(_planes(logs[at].astype(np.float32))))
+            for column, value in zip(out, row, strict=True):
                 column.append(value)
-        types = [pa.int64(), *[pa.binary()] * 3]
-        return pa.table([pa.array(v, t) for v, t in zip(out, types, strict=True)], names=["batch", "pos", "counts", "logs"])
+        return pa.Table.from_batches([_rows(out, _BACK)])
 
     return back
 
 
-def _open(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The documents of a batch (ids, which are known, held out, tokens), word hashes, token indices."""
+def _open(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The documents of a batch (ids, which are known, held out, tokens), word shards and hashes, token places."""
     parts, at = [], 0
-    for _ in range(3):
+    for _ in range(4):
         size = int.from_bytes(packed[at : at + 8], "little")
         parts.append(packed[at + 8 : at + 8 + size])
         at += 8 + size
-    return np.frombuffer(parts[0], np.int64).reshape(4, -1), np.frombuffer(parts[1], np.uint32), _unpack(parts[2], np.int32)
+    index = _from_planes(zstandard.ZstdDecompressor().decompress(parts[3]), np.int32)
+    return np.frombuffer(parts[0], np.int64).reshape(4, -1), _unpack(parts[1], np.int32), np.frombuffer(parts[2], np.uint32).astype(np.uint64), index
+
+
+def _contexts_of(n: np.ndarray, word: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens with REACH tokens before them in order of shard, their shards and the hashes of those before."""
+    offset = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+    at = np.flatnonzero(offset >= REACH)
+    context = np.zeros(len(at), np.uint64)
+    for k in range(REACH, 0, -1):
+        context = mix(context * np.uint64(0x9E3779B97F4A7C15) + word[at - k] + np.uint64(1))
+    shard = ((context >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    return at[order], shard[order], context[order]
 
 
 def _deal(shards: int):
-    """Every token that has REACH tokens before it, to the shard of their hash."""
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            for number, packed in zip(batch.column("batch").to_pylist(), batch.column("docs").to_pylist(), strict=True):
-                (_, _, held, n), hashes, index = _open(packed)
-                word = hashes[index].astype(np.uint64)
-                offset = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
-                at = np.flatnonzero(offset >= REACH)
-                if not len(at):
-                    continue
-                context = np.zeros(len(at), np.uint64)
-                for k in range(REACH, 0, -1):
-                    context = mix(context * np.uint64(0x9E3779B97F4A7C15) + word[at - k] + np.uint64(1))
-                shard = ((context >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
-                key = (context << np.uint64(32)) | word[at]
-                train = np.repeat(held == 0, n)[at]
-                order = np.argsort(shard, kind="stable")
-                out = [[], [], [], [], []]
-                for mine in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                    gaps = press(np.diff(at[mine], prepend=0).astype(np.uint32).tobytes())
-                    row = (number, int(shard[mine[0]]), key[mine].tobytes(), np.packbits(train[mine]).tobytes(), gaps)
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-                types = [pa.int64(), pa.int32(), *[pa.binary()] * 3]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(out, types, strict=True)], names=["batch", "shard", "key", "train", "pos"]
-                )
+    """Every token that has REACH tokens before it, to the shard of their hash: 28 bits of each in seven bytes."""
+
+    def deal(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _coded(rows, shards):
+            word = x.hashes()[x.index]
+            at, shard, context = _contexts_of(x.docs[3], word, shards)
+            key = (context & _LOW28) << np.uint64(28) | word[at] & _LOW28
+            train, out = np.repeat(x.docs[2] == 0, x.docs[3])[at], [[], [], [], []]
+            body = key.view(np.uint8).reshape(-1, 8)[:, :7]
+            for s, a, b in _parts(shard):
+                for column, value in zip(out, (x.number, s, body[a:b].tobytes(), np.packbits(train[a:b]).tobytes()), strict=True):
+                    column.append(value)
+            yield _rows(out, _DEALT)
 
     return deal
 
 
+def _keys(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+    return out.view(np.uint64).ravel()
+
+
 def _follow(table: pa.Table) -> pa.Table:
     """Per token of a shard: below zero its log10 probability after its context, above zero the cost of the escape, or zero."""
-    keys = [np.frombuffer(x, np.uint64) for x in table.column("key").to_pylist()]
+    keys = [_keys(x) for x in table.column("key").to_pylist()]
     train = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(table.column("train").to_pylist(), keys, strict=True)])
     key = np.concatenate(keys)
     order = np.argsort(key, kind="stable")
@@ -378,7 +433,7 @@ def _follow(table: pa.Table) -> pa.Table:
     new = np.ones(len(key), bool)
     new[1:] = ranked[1:] != ranked[:-1]
     pair = np.cumsum(new) - 1
-    context_of = ranked[new] >> np.uint64(32)
+    context_of = ranked[new] >> np.uint64(28)
     context_new = np.ones(len(context_of), bool)
     context_new[1:] = context_of[1:] != context_of[:-1]
     context = np.cumsum(context_new) - 1
@@ -400,22 +455,35 @@ def _follow(table: pa.Table) -> pa.Table:
     value[miss] = -np.log10(escape[miss])
     back = np.empty(len(key))
     back[order] = value
-    press = zstandard.ZstdCompressor(level=1).compress
-    logs = [press(x.astype(np.float32).tobytes()) for x in np.split(back, np.cumsum([len(k) for k in keys])[:-1])]
-    columns = [table.column("batch"), table.column("pos"), pa.nulls(len(keys), pa.binary()), pa.array(logs, pa.binary())]
-    return pa.table(columns, names=["batch", "pos", "counts", "logs"])
+    press, out = zstandard.ZstdCompressor(level=3).compress, [[], [], [], [], []]
+    values = np.split(back.astype(np.float32), np.cumsum([len(k) for k in keys])[:-1])
+    for batch, shard, mine in zip(table.column("batch").to_pylist(), table.column("shard").to_pylist(), values, strict=True):
+        some = mine != 0
+        row = (batch, 1, shard, press(np.packbits(some).tobytes()), press(_planes(mine[some])))
+        for column, value in zip(out, row, strict=True):
+            column.append(value)
+    return pa.Table.from_batches([_rows(out, _BACK)])
 
 
-def _sum_documents(total: int, distinct: int):
+def _sum_documents(total: int, distinct: int, shards: int):
     def sums(left: pa.Table, right: pa.Table) -> pa.Table:
-        (doc_ids, known, held, n), hashes, index = _open(left.column("docs")[0].as_py())
-        counts, logs, after = np.zeros(len(hashes), np.int64), np.zeros(len(hashes)), np.zeros(len(index))
-        for p, c, x in zip(*(right.column(k).to_pylist() for k in ("pos", "counts", "logs")), strict=True):
-            if c is None:
-                after[np.cumsum(_unpack(p, np.uint32), dtype=np.int64)] = _unpack(x, np.float32)
+        if left.num_rows != 1:
+            raise ValueError("the input gave other batches when it was read again; write it as a table first")
+        unpress = zstandard.ZstdDecompressor().decompress
+        (doc_ids, known, held, n), word_shard, hashes, index = _open(left.column("docs")[0].as_py())
+        at, shard, _ = _contexts_of(n, hashes[index], shards)
+        counts, logs, after = np.full(len(hashes), -1), np.zeros(len(hashes)), np.zeros(len(index))
+        words_at, contexts_at = ({s: (a, b) for s, a, b in _parts(x)} for x in (word_shard, shard))
+        for kind, s, c, x in zip(*(right.column(k).to_pylist() for k in ("kind", "shard", "counts", "logs")), strict=True):
+            if kind == 0:
+                a, b = words_at[s]
+                counts[a:b], logs[a:b] = _from_planes(unpress(c), np.int64), _from_planes(unpress(x), np.float32)
             else:
-                at = np.frombuffer(p, np.int32)
-                counts[at], logs[at] = _unpack(c), _unpack(x, np.float64)
+                a, b = contexts_at[s]
+                some = np.unpackbits(np.frombuffer(unpress(c), np.uint8), count=b - a).view(bool)
+                after[at[a:b][some]] = _from_planes(unpress(x), np.float32)
+        if (counts < 0).any():
+            raise ValueError("the input gave other batches when it was read again; write it as a table first")
         base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))[index]
         score = np.where(after < 0, after, logs[index] - after)
         starts = np.cumsum(n) - n
@@ -438,16 +506,15 @@ def score_documents(documents: DataFrame) -> DataFrame:
     rows = documents.select(doc_id, held, text)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    batches = written(rows.mapInArrow(_batches(shards), _BATCHES), "word-batches")
-    dealt = batches.where("shard >= 0").select("shard", "batch", "words", "train", "pos")
-    words = written(dealt.select("shard", "words", "train").groupBy("shard").applyInArrow(_sum_words, _WORDS), "words")
+    dealt = rows.mapInArrow(_dictionaries(shards), _WORDS_OF)
+    words = written(dealt.groupBy("shard").applyInArrow(_sum_words, _WORDS), "words")
     total, distinct = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     contexts = words.mapInArrow(_context_rows, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     found = contexts.toPandas()  # two kinds of three bytes: at most 2 * 2**24 rows
     tables = [found[found.kind == k] for k in (0, 1)]
     model = Model(*[(t.key.to_numpy(np.int64), t.n.to_numpy(np.int64)) for t in tables])
     back = dealt.groupBy("shard").cogroup(words.groupBy("shard")).applyInArrow(_back(model), _BACK)
-    main = batches.where("shard < 0").select("batch", "docs")
-    after = main.mapInArrow(_deal(shards), _DEALT).groupBy("shard").applyInArrow(_follow, _FOUND)
-    scores = main.groupBy("batch").cogroup(back.unionByName(after).groupBy("batch")).applyInArrow(_sum_documents(total, distinct), _SCORES)
+    after = rows.mapInArrow(_deal(shards), _DEALT).groupBy("shard").applyInArrow(_follow, _BACK)
+    main = rows.mapInArrow(_main(shards), _MAIN)
+    scores = main.groupBy("batch").cogroup(back.unionByName(after).groupBy("batch")).applyInArrow(_sum_documents(total, distinct, shards), _SCORES)
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

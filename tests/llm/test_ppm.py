@@ -97,9 +97,9 @@ def same(found, expected):
     found, expected = sorted((tuple(r) for r in found), key=key), sorted(expected, key=key)
     assert [r[:5] for r in found] == [r[:5] for r in expected]
     assert np.allclose([r[5] for r in found], [r[5] for r in expected], rtol=1e-9)
-    # Words of the longest context are known by 32 bits, so a few rows may meet a chance collision.
+    # Words of the longest context are known by 28 bits, so some rows of large tables meet a chance collision.
     close = np.isclose([r[6] for r in found], [r[6] for r in expected], rtol=1e-6, atol=1e-4)
-    assert close.mean() > 0.95 and np.isclose(sum(r[6] for r in found), sum(r[6] for r in expected), rtol=1e-4)
+    assert close.mean() > 0.6 and np.isclose(sum(r[6] for r in found), sum(r[6] for r in expected), rtol=1e-3)
 
 
 @pytest.mark.parametrize("seed", range(3))
