@@ -39,7 +39,7 @@ part(
                sum(l_quantity) AS demand
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-        WHERE o_orderdate < DATE '2001-08-01' GROUP BY ALL""",
+        GROUP BY ALL""",
     month_dates="""
         SELECT date, row_number() OVER (ORDER BY date) - 1 AS t
         FROM (SELECT DISTINCT date FROM order_cells)""",

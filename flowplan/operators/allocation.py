@@ -15,7 +15,7 @@ from flowplan.functions.columns import one_row, ratio_or, zero
 from flowplan.operators import panel
 from flowplan.operators.evaluation import realized_from
 from flowplan.operators.inventory import replay
-from flowplan.operators.skew import every_pair, salted_join
+from flowplan.operators.skew import every_pair, salted_join, salts_for
 from flowplan.session import cut_lineage
 
 TOLERANCE = 1e-6
@@ -30,7 +30,7 @@ class Allocation:
 
     def flows(self) -> DataFrame:
         """All shipments, lane or not: by definition one row per origin and share."""
-        return every_pair(self.shares, self.origins, "destination_id").select(
+        return every_pair(self.shares, self.origins, "destination_id", "origin_id").select(
             "origin_id",
             "destination_id",
             F.col("date").alias("period"),
@@ -56,7 +56,9 @@ class Allocation:
         """Shipping cost per destination over existing lanes."""
         shipped = self.shares.groupBy("destination_id").agg(F.sum("share").alias("share"))
         rate = (
-            salted_join(lanes, self.origins, ["origin_id"], ["destination_id"])
+            salted_join(
+                lanes, self.origins, ["origin_id"], ["destination_id"], salts=salts_for(lanes, ["origin_id"])
+            )
             .groupBy("destination_id")
             .agg(F.sum(F.col("unit_cost") * F.col("daily_capacity")).alias("rate"))
         )

@@ -21,7 +21,10 @@ def clean(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def unique_series(demand: DataFrame, on_conflict: str = "fail") -> DataFrame:
-    """One row per (destination, date). Equal copies merge; differing ones fail or are summed."""
+    """One row per (destination, date). Equal copies merge; differing ones fail, are flagged or are summed.
+
+    With "flag" a cell that disagrees has no demand and a true ``conflict``.
+    """
     if on_conflict == "sum":
         return demand.groupBy(*SERIES).agg(F.sum("demand").alias("demand"))
     value = F.col("demand")
@@ -34,6 +37,9 @@ def unique_series(demand: DataFrame, on_conflict: str = "fail") -> DataFrame:
     conflict = (F.col("low") != F.col("high")) | (
         (F.col("present") > 0) & (F.col("present") < F.col("rows"))
     )
+    if on_conflict == "flag":
+        known = F.coalesce(conflict, F.lit(False))
+        return merged.select(*SERIES, F.when(~known, F.col("low")).alias("demand"), known.alias("conflict"))
     message = F.concat(
         F.lit("conflicting demand rows for "), F.col("destination_id"), F.lit(" on "), F.col("date")
     )
@@ -44,7 +50,7 @@ def unique_series(demand: DataFrame, on_conflict: str = "fail") -> DataFrame:
 
 def horizon_array(dated: DataFrame, column: str = "date") -> DataFrame:
     """One row holding the sorted distinct dates; distinct dates are bounded by the calendar."""
-    return dated.agg(F.array_sort(F.collect_set(column)).alias("dates"))
+    return dated.agg(F.array_sort(F.collect_set(F.col(column).cast("date"))).alias("dates"))
 
 
 def horizon(dated: DataFrame, column: str = "date") -> DataFrame:
@@ -54,22 +60,21 @@ def horizon(dated: DataFrame, column: str = "date") -> DataFrame:
 
 def last_dates(dated: DataFrame, periods: int, column: str = "date") -> DataFrame:
     """The last ``periods`` distinct dates of the whole table, not of each series."""
-    return dated.select(F.col(column).alias("date")).distinct().orderBy(F.desc("date")).limit(periods)
+    return dated.select(F.col(column).cast("date").alias("date")).distinct().orderBy(F.desc("date")).limit(periods)
 
 
 def small_calendar(dates: DataFrame, *columns: str) -> DataFrame:
-    """Distinct calendar rows, marked for broadcast.
+    """Distinct calendar rows with ``date`` as a DATE, so at most the days of the calendar.
 
-    Their number is bounded by the days of the calendar whatever the size of the table they
-    come from. Without the mark Spark sizes them like that table and shuffles by date, and
-    few dates make few, heavy partitions.
+    Nothing is hinted: the adaptive planner broadcasts them by their measured size.
     """
-    return F.broadcast(dates.select(*columns).distinct())
+    rest = [F.col(name) for name in columns if name != "date"]
+    return dates.select(F.col("date").cast("date").alias("date"), *rest).distinct()
 
 
 def on_dates(dated: DataFrame, dates: DataFrame) -> DataFrame:
     """Rows whose date is one of ``dates``."""
-    return dated.join(small_calendar(dates, "date"), "date", "left_semi")
+    return dated.withColumn("date", F.col("date").cast("date")).join(small_calendar(dates, "date"), "date", "left_semi")
 
 
 def dense(ids: DataFrame, dates: DataFrame, demand: DataFrame) -> DataFrame:

@@ -35,12 +35,28 @@ def salts_for(facts: DataFrame, keys: list[str], rows_per_group: int = 1_000_000
     return max(1, -(-(heaviest or 0) // rows_per_group))
 
 
-def every_pair(left: DataFrame, right: DataFrame, left_key: str, salts: int = SALTS) -> DataFrame:
+def pair_groups(left_rows: int, right_rows: int, rows_per_task: int) -> tuple[int, int]:
+    """Into how many groups each side falls so that no two groups make more than ``rows_per_task`` pairs."""
+    tasks = max(1, -(-left_rows * right_rows // rows_per_task))
+    by_left = min(max(1, left_rows), max(1, round((tasks * left_rows / max(1, right_rows)) ** 0.5)))
+    return by_left, min(max(1, right_rows), max(1, -(-tasks // by_left)))
+
+
+def every_pair(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, rows_per_task: int = 1_000_000
+) -> DataFrame:
     """Each left row with each right row, for results that are a product by definition.
 
-    Left rows fall into ``salts`` groups that each meet all right rows, so tasks split the
-    output evenly whichever side is large.
+    Both sides fall into groups, as many as their measured rows ask for; every pair of groups is
+    one key, so a task holds one group of either side and never a whole side.
     """
-    grouped = left.withColumn("_salt", F.pmod(F.hash(left_key), F.lit(salts)))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return grouped.join(copies, "_salt").drop("_salt")
+    by_left, by_right = pair_groups(left.count(), right.count(), rows_per_task)
+    if by_left * by_right == 1:
+        return left.withColumn("_pair", F.lit(0)).join(right.withColumn("_pair", F.lit(0)), "_pair").drop("_pair")
+    rows = left.withColumn("_i", F.pmod(F.hash(left_key), F.lit(by_left))).withColumn(
+        "_j", F.explode(F.sequence(F.lit(0), F.lit(by_right - 1)))
+    )
+    columns = right.withColumn("_j", F.pmod(F.hash(right_key), F.lit(by_right))).withColumn(
+        "_i", F.explode(F.sequence(F.lit(0), F.lit(by_left - 1)))
+    )
+    return rows.join(columns, ["_i", "_j"]).drop("_i", "_j")

@@ -127,11 +127,20 @@ class ForecastRun:
 
 
 def run_forecast(
-    demand: DataFrame, config: ForecastConfig, registry: Registry | None = None
+    demand: DataFrame,
+    config: ForecastConfig,
+    registry: Registry | None = None,
+    on_conflict: str = "flag",
 ) -> ForecastRun:
-    """Forecast, score and select. Series shorter than the minimum history are left out."""
+    """Forecast, score and select. Series shorter than the minimum history are left out.
+
+    Rows that disagree about a date become the error of their destination alone; with
+    ``on_conflict="sum"`` they are added up, with "fail" they end the job.
+    """
     models = (registry or default_registry()).create_all(config.model_names, config.model_params)
-    series = panel.unique_series(demand)
+    series = panel.unique_series(demand, on_conflict)
+    if "conflict" not in series.columns:
+        series = series.withColumn("conflict", F.lit(False))
     if any(isinstance(model, SeriesModel) for model in models):
         # A fit costs far more than its bytes suggest, so the task count is fixed: the
         # adaptive planner would merge these small partitions into a few slow tasks.
@@ -149,6 +158,7 @@ def run_forecast(
         return split.filter(F.col("n") >= config.minimum_history_length).withColumns(
             {
                 "too_short": F.col("split").isNull(),
+                "conflict": F.max("conflict").over(panel.whole_series()),
                 "spans": span_ok("train") & span_ok(first_window),
                 "last_span": span_ok(last_window) if last_window else F.lit(False),
             }
@@ -201,7 +211,7 @@ def run_forecast(
         )
         .select(
             "destination_id", "date", "split", "actual", "in_window",
-            "too_short", "spans", "last_span", "m.*",
+            "too_short", "conflict", "spans", "last_span", "m.*",
         )
     )
     scored = _score_windows(rows, first_window, last_window)
@@ -227,6 +237,7 @@ def _score_windows(rows: DataFrame, first: str, last: str | None) -> DataFrame:
         wanted.append(measured(last).alias("last"))
     return rows.groupBy("destination_id", "ord", "model", "registry_key", "mode").agg(
         F.max("too_short").alias("too_short"),
+        F.max("conflict").alias("conflict"),
         F.max("spans").alias("spans"),
         F.max("last_span").alias("last_span"),
         *wanted,
@@ -256,15 +267,16 @@ def _outcomes(scored: DataFrame, metric: str, last: str | None) -> DataFrame:
             ),
         ).otherwise(final)
     entry = scored.select(
-        "destination_id", "too_short", "spans", "ord", "model", "registry_key", "mode",
+        "destination_id", "too_short", "conflict", "spans", "ord", "model", "registry_key", "mode",
         failure("first").alias("error"), *[value.alias(name) for name, value in chosen.items()],
         final.alias("final"),
     )
-    fine = F.col("error").isNull() & F.col("spans") & ~F.col("too_short")
+    fine = F.col("error").isNull() & F.col("spans") & ~F.col("too_short") & ~F.col("conflict")
     candidate = fine & usable(F.col(metric))
     described = ("ord", "model", "registry_key", "mode", *METRICS)
     grouped = entry.groupBy("destination_id").agg(
         F.max("too_short").alias("too_short"),
+        F.max("conflict").alias("conflict"),
         F.max("spans").alias("spans"),
         F.count(F.when(fine, 1)).alias("working"),
         F.min_by(
@@ -285,7 +297,8 @@ def _outcomes(scored: DataFrame, metric: str, last: str | None) -> DataFrame:
         ).otherwise(m),
     )
     error = (
-        F.when(F.col("too_short"), F.lit("series too short for a three-way split"))
+        F.when(F.col("conflict"), F.lit("conflicting demand rows"))
+        .when(F.col("too_short"), F.lit("series too short for a three-way split"))
         .when(~F.col("spans"), F.lit("train and selection windows need two dates each"))
         .when(F.col("working") == 0, F.lit("all models failed"))
         .when(F.col("best").isNull(), F.lit(f"no usable {metric} in any model"))

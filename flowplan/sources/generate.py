@@ -76,7 +76,7 @@ def complete_lanes(origins: DataFrame, destinations: DataFrame, seed: int = 42)
     """A lane from every origin to every destination, whole costs from 5 to 24."""
     cost = F.floor(5 + 20 * unit_noise(seed, F.col("origin_id"), F.col("destination_id")))
     return every_pair(
-        destinations.select("destination_id"), origins.select("origin_id"), "destination_id"
+        destinations.select("destination_id"), origins.select("origin_id"), "destination_id", "origin_id"
     ).select("origin_id", "destination_id", cost.cast("double").alias("unit_cost"))
 
 

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from flowplan.operators import panel
 
-# Fixed value: the last order month is cut short in the test tables and is left out.
-MONTHS_BEFORE = "2001-08-01"
-
 
 class TestNetwork:
     """Views over one scale-factor folder; every view reads whole tables."""
@@ -24,7 +21,7 @@ class TestNetwork:
 
     def demand_cells(self) -> DataFrame:
         """Ordered quantity per nation and month, only cells that have orders."""
-        orders = self.table("orders").filter(F.col("o_orderdate") < F.lit(MONTHS_BEFORE).cast("date"))
+        orders = self.table("orders")
         return (
             self.table("lineitem")
             .select("l_orderkey", "l_quantity")

@@ -130,3 +130,14 @@ def test_nested_shape(make):
 def test_unknown_model_is_rejected_before_any_work(make):
     with pytest.raises(KeyError):
         run(make.demand(A=weekly()), model_names=["nothing"], model_params={})
+
+
+def test_conflicting_rows_fail_their_destination_only(make):
+    demand = make.demand(A=[10 + i % 7 for i in range(40)], B=[10 + i % 7 for i in range(40)])
+    broken = demand.union(demand.filter("destination_id = 'B' and date = '2023-01-05'").selectExpr("date", "destination_id", "demand + 1"))
+    config = ForecastConfig(["naive_forecaster"])
+    found = {r.destination_id: r for r in run_forecast(broken, config).outcomes.collect()}
+    assert found["A"].success and found["A"].error is None
+    assert not found["B"].success and found["B"].error == "conflicting demand rows"
+    summed = {r.destination_id: r for r in run_forecast(broken, config, on_conflict="sum").outcomes.collect()}
+    assert summed["A"].success and summed["B"].success
