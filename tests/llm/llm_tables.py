@@ -1,12 +1,7 @@
-import sys
-from pathlib import Path
+"""Small tables for the operator tests."""
 
 import pytest
 
-ROOT = Path(__file__).resolve().parents[2]
-if str(ROOT) not in sys.path:
-    sys.path.insert(0, str(ROOT))
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -8,6 +8,8 @@ import __spark_entry__ as registered
 import compare
 from flowplan.llm import decontamination as D
 
+from llm_tables import docs  # noqa: F401
+
 FOLDER = "/root/testdata/sf0.01"
 
 

@@ -5,6 +5,8 @@ import __spark_entry__ as registered
 import compare
 from flowplan.llm.exact_dedup import exact_duplicates
 
+from llm_tables import docs  # noqa: F401
+
 FOLDER = "/root/testdata/sf0.001"
 
 

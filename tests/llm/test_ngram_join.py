@@ -7,6 +7,8 @@ from flowplan.llm import ngram_join as J
 from flowplan.llm.components import components
 from flowplan.llm.queries import QUERIES, table
 
+from llm_tables import docs  # noqa: F401
+
 FOLDER = "/root/testdata/sf0.001"
 
 

@@ -10,6 +10,8 @@ import pytest
 from flowplan.llm import ppm
 from flowplan.llm.queries import QUERIES, table
 
+from llm_tables import docs  # noqa: F401
+
 FOLDER = "/root/testdata/sf0.01"
 
 

@@ -9,6 +9,8 @@ from flowplan.llm import substring_dedup as S
 from flowplan.llm import superkmer
 from flowplan.llm.queries import QUERIES, table
 
+from llm_tables import docs  # noqa: F401
+
 FOLDER = "/root/testdata/sf0.001"
 
 

@@ -8,6 +8,8 @@ from flowplan.llm import suffix_array as A
 from flowplan.llm import suffix_dedup as S
 from flowplan.llm.queries import QUERIES, table
 
+from llm_tables import docs  # noqa: F401
+
 FOLDER = "/root/testdata/sf0.001"
 
 

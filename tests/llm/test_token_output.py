@@ -8,6 +8,8 @@ from flowplan.llm import token_output as T
 from flowplan.llm import wavelet
 from flowplan.llm.queries import QUERIES, table
 
+from llm_tables import docs  # noqa: F401
+
 FOLDER = "/root/testdata/sf0.001"
 
 
