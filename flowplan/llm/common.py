@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import tempfile
 import types
@@ -43,8 +45,16 @@ def worker_store(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def give_back_memory() -> None:
+    """Return memory that earlier tasks of this Python worker have freed to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # the C library may lack it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of ``column``, one row at least."""
+    give_back_memory()
     for batch in batches:
         if not batch.num_rows:
             continue

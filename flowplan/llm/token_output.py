@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from flowplan.llm import wavelet
 from flowplan.llm.common import slices, worker_store, written
 
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 SHARDS = "part int, seq int, n_docs long, n_shard_tokens long, data binary"
 _READ = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
@@ -50,7 +50,7 @@ class CachedTokenizer:
     once and kept. A text with any other space is encoded whole.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -157,7 +157,7 @@ def write_shards(documents: DataFrame, tokenizer_path: str, end_id: int = 2, sha
                 names=["part", "seq", "n_docs", "n_shard_tokens", "data"],
             )
 
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 3 << 20):
             ids, sizes = encoder([t or "" for t in batch.column("text").to_pylist()])
             doc_ids = batch.column("doc_id")
             held.append(
