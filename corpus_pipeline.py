@@ -51,7 +51,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every row, read back from the token files."""
-    return token_output.token_output(spark, docs)
+    # The workers hold what earlier stages left; a smaller memory of pieces makes room.
+    return token_output.token_output(spark, docs, pieces=100_000)
 
 
 STAGES = [

@@ -23,6 +23,8 @@ from flowplan.llm import wavelet
 from flowplan.llm.common import slices, worker_store, written
 
 SHARD_TOKENS = 2_000_000
+#: Distinct pieces a Python worker remembers; fewer take less memory and more time.
+PIECES = 300_000
 SHARDS = "part int, seq int, n_docs long, n_shard_tokens long, data binary"
 _READ = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
@@ -50,7 +52,7 @@ class CachedTokenizer:
     once and kept. A text with any other space is encoded whole.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -133,7 +135,7 @@ def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
     return out
 
 
-def write_shards(documents: DataFrame, tokenizer_path: str, end_id: int = 2, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def write_shards(documents: DataFrame, tokenizer_path: str, end_id: int = 2, shard_tokens: int = SHARD_TOKENS, pieces: int = PIECES) -> DataFrame:
     """Encode every text and return the written table of shards (part, seq, n_docs, n_shard_tokens, data).
 
     Null texts count as empty and hold the end id alone; rows without doc_id come last, rows with
@@ -142,9 +144,9 @@ def write_shards(documents: DataFrame, tokenizer_path: str, end_id: int = 2, sha
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = worker_store("tokenizer")
-        if tokenizer_path not in store:
-            store[tokenizer_path] = CachedTokenizer(tokenizer_path)
-        encoder, part, seq, held, count = store[tokenizer_path], TaskContext.get().partitionId(), 0, [], 0
+        if (tokenizer_path, pieces) not in store:
+            store[tokenizer_path, pieces] = CachedTokenizer(tokenizer_path, pieces)
+        encoder, part, seq, held, count = store[tokenizer_path, pieces], TaskContext.get().partitionId(), 0, [], 0
 
         def shard():
             ids, sizes, docs = (np.concatenate([h[k] for h in held]) for k in range(3))
@@ -157,7 +159,7 @@ def write_shards(documents: DataFrame, tokenizer_path: str, end_id: int = 2, sha
                 names=["part", "seq", "n_docs", "n_shard_tokens", "data"],
             )
 
-        for batch in slices(batches, "text", 3 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             ids, sizes = encoder([t or "" for t in batch.column("text").to_pylist()])
             doc_ids = batch.column("doc_id")
             held.append(
@@ -216,6 +218,6 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def token_output(spark: SparkSession, documents: DataFrame, tokenizer_path: str | None = None, end_id: int = 2) -> DataFrame:
+def token_output(spark: SparkSession, documents: DataFrame, tokenizer_path: str | None = None, end_id: int = 2, pieces: int = PIECES) -> DataFrame:
     """Write the shards of ``documents`` and read them back."""
-    return read_shards(write_shards(documents, tokenizer_path or tokenizer_file(), end_id))
+    return read_shards(write_shards(documents, tokenizer_path or tokenizer_file(), end_id, pieces=pieces))
