@@ -397,8 +397,9 @@ def jaccard_components(documents: DataFrame, percent: int = 75, width: int = WID
     keyed = docs.where("n > 0").join(groups, "hi", "left")
     # Equal sets share hi and lo; linked classes share the label.
     least = keyed.where("label is not null").groupBy("label").agg(F.min("key").alias("linked"))
+    linked = groups.join(least, "label").select("hi", "linked")
     same = docs.where("n > 0").groupBy("hi", "lo").agg(F.min("key").alias("equal"))
-    out = docs.join(groups, "hi", "left").join(least, "label", "left").join(same, ["hi", "lo"], "left")
+    out = docs.join(linked, "hi", "left").join(same, ["hi", "lo"], "left")
     found = F.when(F.col("n") == 0, F.col("key")).otherwise(F.coalesce("linked", "equal"))
     return out.select(
         F.nullif("key", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(found, F.lit(NO_ID)).alias("component_id")
