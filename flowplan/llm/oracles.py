@@ -33,4 +33,22 @@ ORACLES = {
         SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
         FROM m JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
     """,
+    "op6_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (
+            SELECT doc_id, p, array_to_string(w[p : p + 49], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(w) - 48)) AS p FROM d)),
+        first AS (SELECT s, min(doc_id) AS k FROM windows GROUP BY s),
+        gone AS (
+            SELECT DISTINCT doc_id, p + unnest(range(0, 50)) AS q
+            FROM windows JOIN first USING (s) WHERE doc_id > k),
+        words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS q FROM d),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY q) AS t
+            FROM words ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
 }
