@@ -131,7 +131,7 @@ def run_grid(
     registry: Registry | None = None,
     max_variables: int = MAX_VARIABLES,
 ) -> tuple[dict[str, ScenarioResult], dict[str, str]]:
-    """Run every scenario; one that fails is reported by name and the others go on.
+    """Run every scenario; one that its data or settings forbid is reported by name and the others go on.
 
     The tables are materialised once; scenarios with the same forecast share its signal.
     """
@@ -146,7 +146,7 @@ def run_grid(
                 signal, run = forecast_signal(tables["demand_history"], config, registry)
                 signals[key] = (cut_lineage(signal), run)
             results[config.name] = run_scenario(tables, config, signals[key], max_variables)
-        except Exception as problem:
+        except (ValueError, KeyError) as problem:  # a fault of the cluster is none of the scenario
             failures[config.name] = str(problem)
     return results, failures
 
