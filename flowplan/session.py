@@ -25,6 +25,7 @@ def local_session(name: str = "flowplan", cores: int | str = 8, **conf: str) ->
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.sql.shuffle.partitions": str(cores),
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="flowplan-"),
     }
     for key, value in {**SETTINGS, **defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -33,28 +34,32 @@ def local_session(name: str = "flowplan", cores: int | str = 8, **conf: str) ->
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
+
+    A cluster has to name one that all executors share. A local session that names none is given
+    one of its own, once, and keeps it as its setting.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="flowplan-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder the session names, so lost executors cost nothing.
+    """Materialise ``df`` in the shared checkpoint folder, so lost executors cost nothing.
 
-    Iterative plans call this once per round. Only a local session may fall back to a
-    temporary folder; on a cluster the folder has to be shared.
+    Iterative plans call this once per round.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="flowplan-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name for written tables, inside the shared checkpoint folder if there is one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
-    return f"{base}/flowplan-{name}-{uuid.uuid4().hex}"
+    """A new folder name for written tables, inside the shared folder."""
+    return f"{shared_folder(spark)}/flowplan-{name}-{uuid.uuid4().hex}"
