@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -31,10 +32,13 @@ BLOCKS = frozenset(
     "thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Runs within a line; a name of furniture hides them at once.
+INLINE = frozenset("a abbr b bdi bdo cite code del em font i ins kbd mark q s samp small span strong sub sup time u var".split())
+ARTICLES = frozenset(("article", "main"))
 CONTAINERS = frozenset("article main section div td body".split())
 FURNITURE = frozenset(
     "nav footer aside form script style noscript template iframe object svg button select option textarea input label menu "
-    "dialog head title canvas audio video math map".split()
+    "dialog head title canvas audio video map".split()
 )
 HINT = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert|advertisement|advertising|sponsor|sponsored|promo|banner|nav|navbar|navigation|menu|"
@@ -44,22 +48,49 @@ HINT = re.compile(
     r"disclaimer|skip|skip-link)(?:$|[\s_\d-])",
     re.I,
 )
+#: Names that say what an element lacks or stands beside, such as has-sidebar.
+BESIDE = re.compile(r"(?<![\w-])(?:has|no|not|with|without)[_-][\w-]+", re.I)
+#: Names that inside an article or main stand for parts of the article.
+TOPICAL = re.compile(
+    r"(?<![^\s_-])(?:header|masthead|related|recommended|legal|search|notice|notices|alert|menu|disclaimer|copyright)(?![^\s_\d-])", re.I
+)
+#: Names of long text that is furniture wherever a page has an article or main outside it.
+APART = re.compile(
+    r"(?<![^\s_-])(?:ad|ads|advert|advertisement|advertising|sponsor|sponsored|cookie|cookies|consent|gdpr|newsletter|popup|modal|comment|"
+    r"comments|disqus|replies|respond)(?![^\s_\d-])",
+    re.I,
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 #: Where a start tag ends an open element of the same kind.
 SELF_CLOSING = {"li": {"li"}, "p": {"p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 
 
+@dataclass
+class Hinted:
+    """An element with a name of furniture: its lines, and the articles around, inside and before it."""
+
+    first: int
+    end: int
+    apart: bool
+    inside: bool
+    around: int
+    opened: int
+    holds: bool = False
+
+
 class PageLines(HTMLParser):
-    """Lines of a page (text, tags) outside furniture, and the containers (tag, first line, end) around them."""
+    """Lines of a page (text, tags) outside furniture, the containers (tag, first line, end) around them, and what is hinted by name."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int]] = []
-        self.open: list[tuple[str, bool, int | None]] = []
+        self.open: list[tuple[str, bool, int | None, Hinted | None]] = []
         self.opened: Counter[str] = Counter()
         self.hidden = self.tags = 0
         self.text: list[str] = []
         self.containers: list[list] = []
+        self.hinted: list[Hinted] = []
+        self.named = self.articles = self.clean = self.around = 0
 
     def _flush(self):
         text = " ".join("".join(self.text).split())
@@ -69,9 +100,14 @@ class PageLines(HTMLParser):
         self.text = []
 
     def _pop(self):
-        tag, hidden, container = self.open.pop()
+        tag, hidden, container, hint = self.open.pop()
         self.opened[tag] -= 1
         self.hidden -= hidden
+        if hint is not None:
+            hint.end, hint.holds = len(self.lines), self.articles > hint.opened
+            self.named -= 1
+        elif tag in ARTICLES and not self.named and not self.hidden:
+            self.around -= 1
         if container is not None:
             self.containers[container][2] = len(self.lines)
 
@@ -84,22 +120,40 @@ class PageLines(HTMLParser):
         enders = SELF_CLOSING.get(tag)
         if enders and self.open and self.open[-1][0] in enders:
             self._pop()
-        hidden = tag in FURNITURE or tag == "header" and not (self.opened["article"] or self.opened["main"])
+        inside = bool(self.opened["article"] or self.opened["main"])
+        hidden, hint = tag in FURNITURE or tag == "header" and not inside, None
         if not hidden and attrs and tag not in ("html", "body", "article", "main"):
             values = dict(attrs)
-            named = f"{values.get('class') or ''} {values.get('id') or ''}".strip()
+            named = BESIDE.sub(" ", f"{values.get('class') or ''} {values.get('id') or ''}").strip()
+            if inside:
+                named = TOPICAL.sub(" ", named)
+            furniture = bool(named and HINT.search(named))
+            if furniture and tag not in INLINE and not self.hidden:
+                hint = Hinted(len(self.lines), 0, bool(APART.search(named)), inside, self.around, self.articles)
             hidden = (
-                bool(named and HINT.search(named))
+                furniture
+                and tag in INLINE
                 or (values.get("role") or "") in ROLES
                 or "hidden" in values
                 or values.get("aria-hidden") == "true"
                 or "display:none" in (values.get("style") or "").replace(" ", "")
             )
-        if tag in BLOCKS or hidden or tag in FURNITURE:
+        if hint is not None:
+            self._flush()  # elements of unknown kinds have lines of their own, too
+            hint.first = len(self.lines)
+        if tag in BLOCKS or hidden or hint is not None:
             container = len(self.containers) if tag in CONTAINERS else None
             if container is not None:
                 self.containers.append([tag, len(self.lines), None])
-            self.open.append((tag, hidden, container))
+            if hint is not None:
+                self.hinted.append(hint)
+                self.named += 1
+            elif tag in ARTICLES and not self.hidden:
+                self.articles += 1
+                if not self.named:
+                    self.clean += 1
+                    self.around += 1
+            self.open.append((tag, hidden, container, hint))
             self.opened[tag] += 1
             self.hidden += hidden
 
@@ -109,7 +163,7 @@ class PageLines(HTMLParser):
             self._pop()
 
     def handle_endtag(self, tag):
-        if tag in BLOCKS:
+        if tag in BLOCKS or self.named and self.open[-1][0] == tag:
             self._flush()
         self.tags += 1
         if self.opened[tag]:
@@ -139,6 +193,27 @@ def _smoothed(ratio: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratio, kernel, "same") / weight
 
 
+def _by_name(parser: PageLines, chars: np.ndarray, ratio: np.ndarray, content: np.ndarray, least: float) -> np.ndarray:
+    """Which lines stand in an element with a name of furniture that the clusters do not speak for.
+
+    Such an element is kept when it holds the page's articles or half of the clusters' characters;
+    one inside an article also when most of its own lines are above the threshold.
+    """
+    mass = np.concatenate([[0], np.cumsum(chars * content)])
+    high = np.concatenate([[0], np.cumsum(chars * (content & (ratio >= least)))])
+    size = np.concatenate([[0], np.cumsum(chars)])
+    edges = np.zeros(len(chars) + 1, np.int64)
+    for h in parser.hinted:
+        a, b = h.first, h.end
+        alone = parser.clean == h.around
+        kept = h.holds and alone or 2 * (mass[b] - mass[a]) >= mass[-1] and (h.inside or alone)
+        kept = kept or h.inside and 2 * (high[b] - high[a]) >= size[b] - size[a]
+        if not kept or h.apart and parser.clean:
+            edges[a] += 1
+            edges[b] -= 1
+    return np.cumsum(edges[:-1]) > 0
+
+
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
     """The main text of one page; empty for pages without any."""
     if not html:
@@ -150,8 +225,12 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     if not lines:
         return ""
     chars = np.fromiter((len(t) for t, _ in lines), float, len(lines))
-    smooth = _smoothed(chars / np.fromiter((max(1, n) for _, n in lines), float, len(lines)), sigma)
-    content = smooth >= min(smooth.std(), smooth.mean())
+    ratio = chars / np.fromiter((max(1, n) for _, n in lines), float, len(lines))
+    smooth = _smoothed(ratio, sigma)
+    least = min(smooth.std(), smooth.mean())
+    content = smooth >= least
+    gone = _by_name(parser, chars, ratio, content, least) if parser.hinted else np.zeros(len(lines), bool)
+    content &= ~gone
     before = np.concatenate([[0], np.cumsum(chars * content)])
     total = before[-1]
     held = [(before[b] - before[a], tag, a, b) for tag, a, b in parser.containers]
@@ -161,7 +240,7 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
         # Containers come from the outside in, so the last that is heavy enough is innermost.
         heavy = [h for h in held if h[0] >= REGION * total]
         _, _, first, end = heavy[-1] if heavy else (0, None, 0, len(lines))
-    return "\n".join(t for t, _ in lines[first:end])
+    return "\n".join(t for (t, _), out in zip(lines[first:end], gone[first:end].tolist(), strict=True) if not out)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,6 +34,21 @@ def test_odd_pages():
     assert main_text("<div>x" * 30000).startswith("x\nx")  # linear in depth
 
 
+def test_names_of_furniture_do_not_hide_content():
+    article = f"<article><h1>Head</h1><p>{LONG}</p><p>No.</p><p>{LONG}</p></article>"
+    text = f"Head\n{LONG}\nNo.\n{LONG}"
+    for name in ("content has-sidebar", "no-sidebar", "page sidebar-right", "widget", "menu_open"):
+        assert main_text(f"<body><nav>x</nav><div class='{name}'>{article}<div class=sidebar>{LONG}</div></div></body>") == text, name
+        assert main_text(f"<div class='{name}'><p>{LONG}</p><p>No.</p><p>{LONG}</p></div>") == text.removeprefix("Head\n"), name
+    for head in ("<div class=post-header><h1>Head</h1></div>", "<div id=entry-header><h1>Head</h1></div>", "<h1 class=header>Head</h1>"):
+        assert main_text(f"<article>{head}<p>{LONG}</p><p>No.</p><p>{LONG}</p></article>") == text, head
+    extra = f"<p>{LONG}</p><section id=related-work><h2>Related</h2><p>{LONG}</p></section><p>where <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p>"
+    assert main_text(f"<main>{extra}<p>a <span class=share>b</span> c</p></main>") == f"{LONG}\nRelated\n{LONG}\nwhere x=1\na c"
+    comments = f"<section id=comments><article><p>{LONG * 9}</p></article></section>"
+    assert main_text(f"<main>{article}<div class=ad>Buy</div>{comments}</main>") == text
+    assert main_text(f"{article}{comments}<div class=sidebar><article>{LONG * 9}</article></div>") == text
+
+
 def test_query_against_the_pages_markup(spark):
     pages = table(spark, FOLDER, "pages")
     rows = {r.page_id: r for r in pages.collect()}
