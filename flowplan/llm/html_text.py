@@ -2,8 +2,9 @@
 
 A streaming parser turns a page into lines, one per block, with their characters and tags. The ratio
 of both per line is smoothed by a Gaussian and cut at a threshold; clusters of lines above it are
-content. They select a region: the innermost container that holds nearly all of their text.
-The region's lines are the text, short ones too; what page furniture holds is left out.
+content. They select a region: the page's articles and the clusters beside them, or else the
+innermost container that holds every cluster. The region's lines are the text, short ones too; what
+page furniture holds is left out.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ from pyspark.sql import functions as F
 from flowplan.llm.common import slices
 
 SIGMA = 1.5
-#: Share of the clusters' characters that the region has to hold.
-REGION = 0.8
 
 # Elements by their role in a page.
 BLOCKS = frozenset(
@@ -34,6 +33,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Runs within a line; a name of furniture hides them at once.
 INLINE = frozenset("a abbr b bdi bdo cite code del em font i ins kbd mark q s samp small span strong sub sup time u var".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 ARTICLES = frozenset(("article", "main"))
 CONTAINERS = frozenset("article main section div td body".split())
 FURNITURE = frozenset(
@@ -88,16 +88,20 @@ class PageLines(HTMLParser):
         self.opened: Counter[str] = Counter()
         self.hidden = self.tags = 0
         self.text: list[str] = []
+        self.links: list[bool] = []
+        self.linked = 0
         self.containers: list[list] = []
         self.hinted: list[Hinted] = []
+        self.anchor = False
         self.named = self.articles = self.clean = self.around = 0
 
     def _flush(self):
         text = " ".join("".join(self.text).split())
         if text:
             self.lines.append((text, self.tags))
+            self.links.append(2 * self.linked > len(text) and not any(self.opened[h] for h in HEADINGS))
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def _pop(self):
         tag, hidden, container, hint = self.open.pop()
@@ -117,6 +121,7 @@ class PageLines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
+        self.anchor = tag == "a" or self.anchor and tag not in BLOCKS
         enders = SELF_CLOSING.get(tag)
         if enders and self.open and self.open[-1][0] in enders:
             self._pop()
@@ -166,6 +171,7 @@ class PageLines(HTMLParser):
         if tag in BLOCKS or self.named and self.open[-1][0] == tag:
             self._flush()
         self.tags += 1
+        self.anchor = self.anchor and tag != "a"
         if self.opened[tag]:
             while self.open[-1][0] != tag:
                 self._pop()
@@ -174,6 +180,8 @@ class PageLines(HTMLParser):
     def handle_data(self, data):
         if not self.hidden:
             self.text.append(data)
+            if self.anchor:
+                self.linked += len(data)
 
     def close(self):
         super().close()
@@ -231,16 +239,25 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     content = smooth >= least
     gone = _by_name(parser, chars, ratio, content, least) if parser.hinted else np.zeros(len(lines), bool)
     content &= ~gone
-    before = np.concatenate([[0], np.cumsum(chars * content)])
-    total = before[-1]
-    held = [(before[b] - before[a], tag, a, b) for tag, a, b in parser.containers]
-    articles = [h for h in held if h[1] in ("article", "main")]
-    mass, _, first, end = max(articles, key=lambda h: h[0], default=(0, None, 0, len(lines)))
-    if mass < total / 2:
-        # Containers come from the outside in, so the last that is heavy enough is innermost.
-        heavy = [h for h in held if h[0] >= REGION * total]
-        _, _, first, end = heavy[-1] if heavy else (0, None, 0, len(lines))
-    return "\n".join(t for (t, _), out in zip(lines[first:end], gone[first:end].tolist(), strict=True) if not out)
+    edges = np.zeros(len(lines) + 1, np.int64)
+    for tag, a, b in parser.containers:
+        if tag in ARTICLES:
+            edges[a] += 1
+            edges[b] -= 1
+    within = np.cumsum(edges[:-1]) > 0
+    # A strip of links is raised by its neighbours only; linked headings and paragraphs are not meant.
+    content &= within | (ratio >= least) | ~np.asarray(parser.links)
+    if 2 * (chars * (content & within)).sum() >= max(1, (chars * content).sum()):
+        region = within | content
+    else:
+        # Containers come from the outside in, so the last that holds every cluster is innermost.
+        at = np.flatnonzero(content)
+        holding = [(a, b) for _, a, b in parser.containers if len(at) and a <= at[0] and at[-1] < b]
+        first, end = holding[-1] if holding else (0, len(lines))
+        region = np.zeros(len(lines), bool)
+        region[first:end] = True
+    region &= ~gone
+    return "\n".join(t for (t, _), kept in zip(lines, region.tolist(), strict=True) if kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

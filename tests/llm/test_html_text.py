@@ -49,6 +49,19 @@ def test_names_of_furniture_do_not_hide_content():
     assert main_text(f"{article}{comments}<div class=sidebar><article>{LONG * 9}</article></div>") == text
 
 
+def test_region_holds_every_cluster():
+    body = " ".join([LONG] * 6)
+    assert main_text(f"<body><div><h1>Title</h1><p>lead</p></div><div>{body}</div></body>") == f"Title\nlead\n{body}"
+    assert main_text(f"<body><div><h1><a href=x>Title</a></h1><p>lead</p></div><div>{body}</div></body>") == f"Title\nlead\n{body}"
+    parts = [f"<section><p>{LONG}</p></section>", f"<section>{f'<p>{body}</p>' * 9}</section>", f"<section><p>{LONG}</p></section>"]
+    assert main_text(f"<body><div id=top><a href=1>one</a> <a href=2>two</a></div><div>{''.join(parts)}</div></body>") == "\n".join([LONG, *[body] * 9, LONG])
+    blocks = [f"<article><h2>{k}</h2><p>{LONG * (1 + 8 * (k == 1))}</p></article>" for k in range(4)]
+    assert main_text(f"<body><nav>x</nav>{'<hr>'.join(blocks)}<footer>f</footer></body>") == "\n".join(f"{k}\n{LONG * (1 + 8 * (k == 1))}" for k in range(4))
+    assert main_text(f"<h1>Title</h1><p>{LONG}</p><article><p>{body}</p></article>") == f"Title\n{LONG}\n{body}"
+    items = "".join(f"<p><a href=x>{LONG}</a></p>" for _ in range(3))
+    assert main_text(f"<body>{items}</body>") == "\n".join([LONG] * 3)
+
+
 def test_query_against_the_pages_markup(spark):
     pages = table(spark, FOLDER, "pages")
     rows = {r.page_id: r for r in pages.collect()}
