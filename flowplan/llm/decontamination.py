@@ -4,7 +4,8 @@ Documents fall into partitions by the power of two above their number of shingle
 its own number of MinHash bands: one permutation is cut into bins, many more than the shingles of
 its largest document, and each bin's least hash is one band of one row. A short item that is
 contained in a long document then shares a band with it almost surely, although the two sets are
-hardly similar; a shared band makes a candidate. Candidates are verified by counting the item's
+hardly similar; a shared band makes a candidate. An item that few shingles make found could miss
+every band, so each of its hashes is looked up among all hashes of a document. Candidates are verified by counting the item's
 shingles, word by word. Items are held by the tasks, in blocks of a fixed size, so documents are
 not shuffled.
 """
@@ -26,6 +27,8 @@ WIDTH = 5
 BLOCK_BYTES = 16 << 20
 #: Shingles of a document per bin, at most: a shingle is its bin's least with a chance over 97 %.
 LOAD = 1 / 16
+#: Items that so many shingles, or fewer, make found are looked up by every hash.
+FEW = 5
 _PREFILTER = 22
 RESULT = "doc_id long, item_id long, n_item long, n_shared long, containment double"
 
@@ -40,12 +43,15 @@ def _bits(n: np.ndarray) -> np.ndarray:
 
 
 class ItemIndex:
-    """The items of a block by shingle hash, with the bins from which on each hash is a band of its item."""
+    """The items of a block by shingle hash, with the bins from which on each hash is a band of its item.
 
-    def __init__(self, items: list[tuple[int, bytes]], width: int):
+    ``every`` marks the hashes that are looked up whether they are bands or not.
+    """
+
+    def __init__(self, items: list[tuple[int, bytes]], width: int, percent: int = 75):
         hasher = WordHasher()
         self.ids, self.shingles, self.spans = [], [], []
-        hashes, owner, least = [], [], []
+        hashes, owner, least, every = [], [], [], []
         for item_id, text in items:
             words = _words(text)
             if not words:
@@ -58,6 +64,7 @@ class ItemIndex:
             hashes.append(h)
             least.append(np.concatenate([np.zeros(1, np.uint64), common + np.uint64(1)]))
             owner.append(np.full(len(h), len(self.ids)))
+            every.append(np.full(len(h), percent * len(h) <= 100 * FEW))
             self.ids.append(item_id)
             self.spans.append(k)
             self.shingles.append({b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)})
@@ -66,11 +73,13 @@ class ItemIndex:
         self.hash = self.hash[order]
         self.owner = np.concatenate(owner)[order] if owner else np.zeros(0, np.int64)
         self.least = np.concatenate(least)[order] if least else np.zeros(0, np.uint64)
-        self.seen = np.zeros(1 << _PREFILTER, bool)
-        self.seen[(self.hash & np.uint64((1 << _PREFILTER) - 1)).astype(np.int64)] = True
+        self.every = np.concatenate(every)[order] if every else np.zeros(0, bool)
+        low = (self.hash & np.uint64((1 << _PREFILTER) - 1)).astype(np.int64)
+        self.seen, self.seen_every = np.zeros(1 << _PREFILTER, bool), np.zeros(1 << _PREFILTER, bool)
+        self.seen[low], self.seen_every[low[self.every]] = True, True
 
     def candidates(self, sets: list[np.ndarray]) -> set[tuple[int, int]]:
-        """(set, item) that share a band. Every set is sorted."""
+        """(set, item) that share a band, or any hash of an item with few. Every set is sorted."""
         n = np.fromiter(map(len, sets), np.int64, len(sets))
         if not n.sum() or not len(self.hash):
             return set()
@@ -79,13 +88,14 @@ class ItemIndex:
         band = h >> (np.uint64(64) - bits)
         first = np.ones(len(h), bool)
         first[1:] = (band[1:] != band[:-1]) | (doc[1:] != doc[:-1])
-        first &= self.seen[(h & np.uint64((1 << _PREFILTER) - 1)).astype(np.int64)]
-        h, doc, bits = h[first], doc[first], bits[first]
+        low = (h & np.uint64((1 << _PREFILTER) - 1)).astype(np.int64)
+        known = first & self.seen[low] | self.seen_every[low]
+        h, doc, bits, first = h[known], doc[known], bits[known], first[known]
         a, b = np.searchsorted(self.hash, h, "left"), np.searchsorted(self.hash, h, "right")
         out = set()
         for i in np.flatnonzero(b > a).tolist():
             for j in range(a[i], b[i]):
-                if self.least[j] <= bits[i]:
+                if self.every[j] or first[i] and self.least[j] <= bits[i]:
                     out.add((int(doc[i]), int(self.owner[j])))
         return out
 
@@ -139,7 +149,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = 75,
     spark, found = documents.sparkSession, []
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = ItemIndex([(r.item_id, r.text.encode()) for r in mine.collect()], width)
+        index = ItemIndex([(r.item_id, r.text.encode()) for r in mine.collect()], width, percent)
         if index.ids:
             found.append(rows.mapInArrow(_search(index, percent, width), RESULT))
     if not found:

@@ -75,6 +75,19 @@ def test_recall_of_bands_for_short_items_in_long_documents():
     assert hits >= 198
 
 
+def test_short_items_are_found_in_every_document(spark, docs):
+    rng = np.random.default_rng(1)
+    items = [(1, "alpha beta gamma delta omega"), (2, "single"), (3, "one two three four five six")]
+    rows = []
+    for d in range(1500):
+        words = [f"d{x}" for x in rng.integers(0, 10**9, 260)]
+        item = items[d % 3][1]
+        rows.append((d, " ".join([*words[:100], item, *words[100:]])))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in D.contaminated(docs(rows), frame).collect()}
+    assert found == {(d, 1 + d % 3) for d in range(1500)}
+
+
 def test_query_matches_sql(spark):
     frame = registered.queries()["op5_decontamination"](spark, FOLDER).toPandas()
     expected = compare.duck(FOLDER).execute(registered.oracle_sql()["op5_decontamination"]).fetch_df()
