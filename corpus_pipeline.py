@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowplan.llm import decontamination, mixing, ngram_join, quality, token_output
-from flowplan.llm.common import shared_folder
+from flowplan.llm.common import WORD, shared_folder, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,19 +24,32 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest doc_id of each group of linked documents; rows without shingles or doc_id all stay.
+    """The row with the smallest doc_id of each group of linked documents; rows without shingles all stay.
 
-    Of rows that repeat the staying doc_id one stays, the one with the longest, then the smallest text.
+    Rows are told apart by all their columns, not by doc_id, and rows without doc_id count as the
+    greatest. Of rows of a group that repeat the staying doc_id the one with the longest text stays.
     """
-    groups = ngram_join.jaccard_components(docs)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    repeated = groups.where("n_shingles > 0 and doc_id = component_id").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1")
-    again = kept.join(repeated.select("_again"), kept["doc_id"] == F.col("_again"), "left_semi")
-    row = F.struct(F.length("text").alias("n"), F.xxhash64("text").alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    first = again.groupBy("doc_id").agg(F.max(row).alias("best")).select([F.col("best.row")[c].alias(c) for c in docs.columns])
-    single = kept.join(repeated.select("_again"), kept["doc_id"] == F.col("_again"), "left_anti")
-    return single.unionByName(first)
+    text = F.col("text").cast("string")
+    # Two hashes of the whole row; rows that are equal in all columns are one key.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    seeds = [F.xxhash64(F.lit(k), *columns, *[c.isNull() for c in columns]) for k in (1, 2)]
+    order = [F.coalesce(F.col("doc_id").cast("long"), F.lit(ngram_join.NO_ID)).alias("key"), (-F.length(text)).alias("len")]
+    worded = docs.where(text.rlike(WORD))
+    signed = ngram_join.signatures(worded.select(*order, seeds[0].alias("a"), seeds[1].alias("b"), text.alias("text")))
+    row = F.struct("key", "len", "a", "b")
+    classes = signed.groupBy("hi", "lo", row.alias("row")).count()
+    classes = written(classes.groupBy("hi", "lo").agg(F.min(F.struct("row", "count")).alias("best")), "class-rows")
+    _, groups = ngram_join.linked_classes(docs)
+    alone = F.when(F.col("label").isNull(), F.col("lo"))
+    named = classes.join(groups, "hi", "left").select(F.coalesce("label", "hi").alias("group"), alone.alias("lo"), "best")
+    best = named.groupBy("group", "lo").agg(F.min("best").alias("best"))
+    best = written(best.select(F.col("best.row.a").alias("_a"), F.col("best.row.b").alias("_b"), F.col("best.count").alias("_n")), "staying")
+
+    def staying(which: str) -> DataFrame:
+        mine = best.where(which)
+        return worded.join(mine, (seeds[0] == mine["_a"]) & (seeds[1] == mine["_b"]), "left_semi")
+
+    return docs.where(~F.coalesce(text.rlike(WORD), F.lit(False))).unionByName(staying("_n = 1")).unionByName(staying("_n > 1").dropDuplicates())
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowplan.llm.common import WordHasher, shingle_hashes, slices, texts_of
@@ -101,6 +101,8 @@ class ItemIndex:
 
 
 def _search(index: ItemIndex, percent: int, width: int):
+    """Found pairs of a batch, under the row's ``tag`` if it has one."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(150_000)
         spans = sorted(set(index.spans) | {width})
@@ -116,8 +118,8 @@ def _search(index: ItemIndex, percent: int, width: int):
             by_doc = defaultdict(list)
             for d, i in pairs:
                 by_doc[d].append(i)
-            rows = []
-            doc_ids = batch.column("doc_id")
+            rows, doc_ids = [], batch.column("doc_id")
+            tags = batch.column("tag") if "tag" in batch.schema.names else None
             for d in sorted(by_doc):
                 words, grams = _words(texts[d]), {}
                 for i in sorted(by_doc[d]):
@@ -126,10 +128,11 @@ def _search(index: ItemIndex, percent: int, width: int):
                         grams[k] = {b" ".join(words[j : j + k]) for j in range(len(words) - k + 1)}
                     size, shared = len(index.shingles[i]), len(index.shingles[i] & grams[k])
                     if 100 * shared >= percent * size:
-                        rows.append((doc_ids[d].as_py(), index.ids[i], size, shared, shared / size))
+                        rows.append((doc_ids[d].as_py(), index.ids[i], size, shared, shared / size, tags[d].as_py() if tags is not None else None))
             if rows:
-                values = [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.float64()], strict=True)]
-                yield pa.RecordBatch.from_arrays(values, names=["doc_id", "item_id", "n_item", "n_shared", "containment"])
+                values = [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.float64(), pa.int64()], strict=True)]
+                names = ["doc_id", "item_id", "n_item", "n_shared", "containment", "tag"]
+                yield pa.RecordBatch.from_arrays(values[: 5 + (tags is not None)], names=names[: 5 + (tags is not None)])
 
     return search
 
@@ -142,18 +145,25 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = 75,
     empty texts and items match nothing; repeated rows and items each give their rows. Other columns
     are ignored.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _found(documents.select(*_key()), benchmark, percent, width, block_bytes, RESULT)
+
+
+def _key() -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+
+
+def _found(rows: DataFrame, benchmark: DataFrame, percent: int, width: int, block_bytes: int, result: str) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    spark, found = documents.sparkSession, []
+    spark, found = rows.sparkSession, []
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         index = ItemIndex([(r.item_id, r.text.encode()) for r in mine.collect()], width, percent)
         if index.ids:
-            found.append(rows.mapInArrow(_search(index, percent, width), RESULT))
+            found.append(rows.mapInArrow(_search(index, percent, width), result))
     if not found:
-        return spark.createDataFrame([], RESULT)
+        return spark.createDataFrame([], result)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -161,6 +171,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = 75,
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of ``documents`` in which no item is found, with all their columns."""
-    hits = contaminated(documents, benchmark, percent).select(F.col("doc_id").alias("_hit")).distinct()
-    return documents.join(hits, documents["doc_id"].eqNullSafe(hits["_hit"]), "left_anti")
+    """The rows of ``documents`` in which no item is found, with all their columns.
+
+    A row is told by its doc_id and a hash of its text, so rows that share a doc_id, or have none, are
+    judged one by one.
+    """
+    tag = F.xxhash64(F.col("text").cast("string"))
+    hits = _found(documents.select(*_key(), tag.alias("tag")), benchmark, percent, WIDTH, BLOCK_BYTES, f"{RESULT}, tag long")
+    hits = hits.select(F.col("doc_id").alias("_hit"), F.col("tag").alias("_tag")).distinct()
+    return documents.join(hits, documents["doc_id"].cast("long").eqNullSafe(hits["_hit"]) & (tag == hits["_tag"]), "left_anti")

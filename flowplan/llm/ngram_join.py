@@ -342,13 +342,23 @@ def _between_groups(percent: int, fragments: int):
     return pairs
 
 
-def jaccard_components(documents: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
+def signatures(rows: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The other columns of ``rows`` with hi, lo, the signature of the shingle set of ``text``."""
+    names = [c for c in rows.columns if c != "text"]
 
-    Rows link when ``100 * common >= percent * union`` of their shingle sets, and equal sets always do.
-    Null and empty texts have no set and are alone. Rows without doc_id take part as the greatest;
-    alone they have a null component. Other columns are ignored; an empty table gives an empty result.
-    """
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(150_000)
+        for batch in slices(batches, "text", 4 << 20):
+            signs = [_signature(s) for s in shingle_sets(texts_of(batch.column("text")), hasher, width)]
+            hi, lo = (pa.array([s[i] for s in signs], pa.int64()) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), hi, lo], names=[*names, "hi", "lo"])
+
+    types = dict(rows.dtypes)
+    return rows.mapInArrow(signed, ", ".join([*(f"{c} {types[c]}" for c in names), "hi long", "lo long"]))
+
+
+def linked_classes(documents: DataFrame, percent: int = 75, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+    """(hi, lo, key, n, ...) of every row, and (hi, label) of every class of equal sets that is linked to another."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.col("text").cast("string").alias("text"))
@@ -393,7 +403,17 @@ def jaccard_components(documents: DataFrame, percent: int = 75, width: int = WID
     )
     more = cut.groupBy("fragment").applyInArrow(_between_groups(percent, parts), _PAIRS)
     links = written(links.union(_linked(more, percent)), "all-links")
-    groups = components(links).withColumnRenamed("node", "hi")
+    return docs, components(links).withColumnRenamed("node", "hi")
+
+
+def jaccard_components(documents: DataFrame, percent: int = 75, width: int = WIDTH) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
+
+    Rows link when ``100 * common >= percent * union`` of their shingle sets, and equal sets always do.
+    Null and empty texts have no set and are alone. Rows without doc_id take part as the greatest;
+    alone they have a null component. Other columns are ignored; an empty table gives an empty result.
+    """
+    docs, groups = linked_classes(documents, percent, width)
     keyed = docs.where("n > 0").join(groups, "hi", "left")
     # Equal sets share hi and lo; linked classes share the label.
     least = keyed.where("label is not null").groupBy("label").agg(F.min("key").alias("linked"))

@@ -45,6 +45,18 @@ def test_every_stage_against_brute_force(spark):
     assert QUERIES["pipeline"](spark, FOLDER).count() == len(rows)
 
 
+def test_rows_are_judged_one_by_one(spark):
+    texts = ["a b c d e f g", "h i j k l m n", "o p q r s t u", "v w x y z a b"]
+    rows = [(None, texts[0], "x", "1"), (None, texts[0], "y", None), (None, texts[0], None, "y"), (None, texts[1], "x", "4")]
+    rows += [(1, texts[2], "x", "5"), (2, texts[2], "x", "6"), (2, texts[3], "x", "7"), (2, texts[1], "x", "8"), (2, texts[1], "x", "8"), (2, "", "x", "9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row string").repartition(3)
+    kept = [tuple(r) for r in P.keep_one_of_group(spark, docs, FOLDER).collect()]
+    assert sorted(r[1] for r in kept) == sorted(["", *texts]) and set(kept) <= set(rows)
+    assert {r[:2] for r in kept} == {(None, texts[0]), (2, texts[1]), (1, texts[2]), (2, texts[3]), (2, "")}
+    items = spark.createDataFrame([(7, texts[1])], "item_id long, text string")
+    assert sorted(map(str, P.decontamination.clean(docs, items).collect())) == sorted(str(r) for r in docs.collect() if r.text != texts[1])
+
+
 def test_repeated_rows_nulls_and_other_columns(spark):
     rows = [(1, "a b c d e f g", "x", 1), (1, "a b c d e f g", "x", 2), (2, "a b c d e f g", None, 3), (3, None, "x", 4), (None, "z z", "x", 5), (4, "", "y", 6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _gone int")
