@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from flowplan.llm import decontamination, exact_dedup, fill_middle, html_text, mixing, ngram_join, ppm, quality, substring_dedup, suffix_dedup, token_output
+from flowplan.llm import decontamination, exact_dedup, fill_middle, html_text, mixing, ngram_join, pii, ppm, quality, substring_dedup, suffix_dedup, token_output
 
 QUERIES = {}
 
@@ -74,6 +74,11 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+@query
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
