@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from flowplan.llm import decontamination, exact_dedup, fill_middle, html_text, mixing, ngram_join, pii, ppm, quality, substring_dedup, suffix_dedup, token_output
+from flowplan.llm import conversation_repair, decontamination, exact_dedup, fill_middle, html_text, mixing, ngram_join, pii, ppm, quality, substring_dedup, suffix_dedup, token_output
 
 QUERIES = {}
 
@@ -69,6 +69,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
