@@ -45,9 +45,9 @@ class Demand:
 class Plan:
     """A shipment plan: ``flows`` (origin_id, destination_id, period, flow).
 
-    ``lower_bound`` is set where a part was priced: no plan can cost less. Without it the
-    plan is optimal. ``unmet`` (destination_id, t, short) is demand that could not be placed,
-    ``tiers`` counts the connected parts planned each way.
+    No plan can cost less than ``lower_bound``; without it the plan is optimal. ``unmet``
+    (destination_id, t, short) is demand that no plan could place, ``tiers`` says how the network was
+    planned. ``prices`` (origin_id, t, price) and ``values`` (destination_id, t, need, value) prove the bound.
     """
 
     demand: Demand
@@ -57,6 +57,8 @@ class Plan:
     lower_bound: float | None = None
     unmet: DataFrame | None = None
     tiers: dict[str, int] | None = None
+    prices: DataFrame | None = None
+    values: DataFrame | None = None
 
     def inventory(self) -> DataFrame:
         """Stock of every destination after every period, zeros kept."""
