@@ -559,6 +559,56 @@ oracle(
         FROM lag_signal""",
 )
 
+# Proofs, checked inputs and results
+
+part(
+    cert_prices="""
+        SELECT o.origin_id, d.t, coalesce(greatest(shipped - cap, 0.0) / cap, 0.0) AS price, daily_capacity
+        FROM tight_origins o CROSS JOIN month_dates d
+        LEFT JOIN tight_load l ON l.origin_id = o.origin_id AND l.period = d.date AND shipped > cap + 1e-6""",
+    cert_values="""
+        SELECT destination_id, t, demand AS need, lane,
+               min(lane - holding_cost * t) OVER (PARTITION BY destination_id ORDER BY t) + holding_cost * t AS value
+        FROM (SELECT destination_id, t, min(unit_cost + price) AS lane
+              FROM routes JOIN cert_prices USING (origin_id) GROUP BY ALL)
+        JOIN places USING (destination_id) JOIN months USING (destination_id, t)""",
+    cert_shipped="""
+        SELECT c.origin_id, v.destination_id, v.t, c.unit_cost + p.price - v.value AS reduced
+        FROM cert_values v JOIN cheapest c USING (destination_id)
+        JOIN cert_prices p ON p.origin_id = c.origin_id AND p.t = v.t WHERE need > 1e-6""",
+)
+
+oracle(
+    plan_certificate=f"""
+        SELECT v.destination_id, v.t::INT AS t, need, {r("lane", 6)} AS lane, {r("value", 6)} AS value, origin_id,
+               {r("reduced", 6)} AS reduced
+        FROM cert_values v LEFT JOIN cert_shipped s ON s.destination_id = v.destination_id AND s.t = v.t""",
+    plan_certificate_faults=f"""
+        SELECT 'dear_shipment' AS rule, origin_id || '|' || destination_id AS key, t::INT AS t, {r("reduced", 6)} AS detail
+        FROM cert_shipped WHERE reduced > 1e-6""",
+    plan_bound=f"""
+        SELECT {r("(SELECT sum(need * value) FROM cert_values) - (SELECT sum(price * daily_capacity) FROM cert_prices)", 2)} AS bound""",
+    clean_report="""
+        SELECT 'demand_history' AS name, count(*) + count_if(destination_id::INT % 3 = 0)::BIGINT AS rows,
+               count(*) AS kept, 0::BIGINT AS nulls FROM weeks
+        UNION ALL SELECT 'destinations', count(*), count(*), count_if(holding_cost <= 0.25)::BIGINT FROM places
+        UNION ALL SELECT 'lanes', count(*), count(*), 0 FROM routes
+        UNION ALL SELECT 'origins', count(*), count(*), 0 FROM slack_origins""",
+    dq_resolved_keys="""
+        SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order,
+               arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS last_price,
+               arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_order,
+               arg_min(o_totalprice, (o_orderdate, o_orderkey)) AS first_price
+        FROM orders GROUP BY 1""",
+    result_contract="""
+        WITH w AS (
+            SELECT o_custkey::VARCHAR AS k, min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS b FROM orders GROUP BY 1)
+        SELECT 'missing_column' AS rule, 'model' AS key, 'string' AS detail
+        UNION ALL SELECT 'wrong_type', 'value', 'string'
+        UNION ALL SELECT 'unknown_metric', k, 'medae' FROM w WHERE k::INT % 7 = 0
+        UNION ALL SELECT 'reversed_period', k, a::VARCHAR || '..' || b::VARCHAR FROM w WHERE a >= b""",
+)
+
 # Allocation and scenarios
 
 part(

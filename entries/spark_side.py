@@ -21,16 +21,18 @@ from flowplan.operators.models import (
     rolling,
     seasonal,
 )
+from flowplan.operators.skew import every_pair
 from flowplan.operators.selection import score, select_best
 from flowplan.operators.smoothing import ets, ets_grid
-from flowplan.plans import check, scenarios
+from flowplan import schemas
+from flowplan.plans import certificate, check, scenarios
 from flowplan.plans.forecast import ForecastRun, default_registry, run_forecast
 from flowplan.plans.netting import Demand, demand_of
 from flowplan.plans.planner import optimize
 from flowplan.plans.priced import priced_plan
 from flowplan.plans.slack import overload, slack_flows, slack_plan
 from flowplan.session import cut_lineage, scratch_folder
-from flowplan.sources import artifacts, generate, tables
+from flowplan.sources import artifacts, generate, tables, validated
 from flowplan.sources.testnet import TestNetwork
 
 BASELINES = ("naive_forecaster", "seasonal_forecaster", "rolling_window_forecaster")
@@ -294,6 +296,42 @@ def clean_demand(net):
     )
 
 
+@query
+def clean_report(net):
+    """Rows, distinct rows and nulls of each table, counted by the jobs that write the cleaned tables."""
+    weeks = net.demand_supplier_week()
+    repeated = weeks.unionByName(weeks.filter(F.col("destination_id").cast("int") % 3 == 0))
+    places = net.destinations().withColumn("holding_cost", F.when(F.col("holding_cost") > 0.25, F.col("holding_cost")))
+    inputs = {"demand_history": repeated, "destinations": places, "lanes": net.lanes(), "origins": net.origins_slack()}
+    _, report = validated.write_clean(inputs, scratch_folder(net.spark, "clean"))
+    return report.select(
+        "name", "rows", "kept", F.aggregate(F.map_values("nulls"), F.lit(0).cast("long"), lambda a, b: a + b).alias("nulls")
+    )
+
+
+@query
+def dq_resolved_keys(net):
+    """The latest order of each customer, where several state a price."""
+    orders = net.table("orders").select("o_custkey", "o_orderdate", "o_orderkey", F.col("o_totalprice").alias("stated"))
+    latest = quality.resolved_keys(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    first = quality.resolved_keys(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], keep="first")
+    return latest.select("o_custkey", F.col("o_orderkey").alias("last_order"), F.col("stated").alias("last_price")).join(
+        first.select("o_custkey", F.col("o_orderkey").alias("first_order"), F.col("stated").alias("first_price")), "o_custkey"
+    )
+
+
+@query
+def result_contract(net):
+    """Windows of orders per customer, of which some name no known metric, some run backwards, and one column is text."""
+    orders = net.table("orders")
+    spans = orders.groupBy(F.col("o_custkey").cast("string").alias("destination_id")).agg(
+        F.min("o_orderdate").cast("date").alias("start_date"), F.max("o_orderdate").cast("date").alias("end_date"),
+        F.count(F.lit(1)).cast("string").alias("value"),
+    )
+    metric = F.when(F.col("destination_id").cast("int") % 7 == 0, "medae").otherwise("mae")
+    return quality.contract_violations(spans.withColumn("metric", metric), schemas.SCORED_WINDOW, METRICS)
+
+
 @query
 def demand_in_horizon(net):
     weeks = net.demand_supplier_week().withColumn(
@@ -669,6 +707,45 @@ def plan_priced_check(net):
     )
 
 
+def priced_overload(net):
+    """Cheapest-lane shipments of the tight network, priced by how far they overload an origin, with the values this gives."""
+    demand, lanes, origins = demand_of(months(net)), net.lanes(), cut_lineage(net.origins_tight())
+    required = cut_lineage(demand.required())
+    flows = slack_flows(required, lanes)
+    heavy = overload(flows, origins).select("origin_id", F.col("period").alias("date"), (F.col("excess") / F.col("daily_capacity")).alias("price"))
+    dates = panel.small_calendar(required, "t", "date")
+    grid = every_pair(origins.select("origin_id"), dates, "origin_id", "t")
+    prices = cut_lineage(grid.join(heavy, ["origin_id", "date"], "left").select("origin_id", "t", F.coalesce("price", F.lit(0.0)).alias("price")))
+    values = cut_lineage(certificate.cell_values(prices, lanes, certificate.needs(required, net.destinations())))
+    named = flows.join(dates, flows["period"] == dates["date"]).select("origin_id", "destination_id", "t", "flow")
+    return named, prices, values, lanes, origins
+
+
+@query
+def plan_certificate(net):
+    """Values of all cells by those prices, and what each shipment costs above them."""
+    flows, prices, values, lanes, _ = priced_overload(net)
+    cost = certificate.reduced_costs(flows, lanes, prices, values)
+    return values.join(cost, ["destination_id", "t"], "left").select(
+        "destination_id", "t", "need", rounded("lane", 6), rounded("value", 6), "origin_id", rounded("reduced", 6)
+    )
+
+
+@query
+def plan_certificate_faults(net):
+    """Shipments that the prices show to be dear."""
+    flows, prices, values, lanes, _ = priced_overload(net)
+    return certificate.violations(flows, lanes, prices, values, 1e-6).select("rule", "key", "t", rounded("detail", 6))
+
+
+@query
+def plan_bound(net):
+    """The bound those prices prove for every plan of the network."""
+    _, prices, values, _, origins = priced_overload(net)
+    bound = certificate.lower_bound(prices, values, origins.select("origin_id", F.col("daily_capacity").alias("capacity")))
+    return net.spark.createDataFrame([(bound,)], "bound double").select(rounded("bound", 2))
+
+
 @query
 def plan_end_to_end(net):
     signal = run_forecast(months(net), baselines()).signal("zero")

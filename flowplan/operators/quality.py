@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowplan.functions.columns import zero
 
@@ -160,6 +161,51 @@ def conflicting_keys(df: DataFrame, keys: list[str], value: str, name: str, rank
     return _rows(found.filter("n > 1"), rank, "conflicting_keys", key, F.col("n"))
 
 
+def resolved_keys(df: DataFrame, keys: list[str], sequence: list[str], keep: str = "last") -> DataFrame:
+    """One row per key: the one that stands last (or first) in the order of the ``sequence`` columns.
+
+    Rows that tie in the sequence are ordered by their other values, so the choice does not depend on
+    how the rows arrive. Nulls in the sequence stand first. Copies merge before the shuffle.
+    """
+    if keep not in ("first", "last"):
+        raise ValueError("keep must be first or last")
+    values = [c for c in df.columns if c not in keys]
+    rest = [c for c in values if c not in sequence]
+    rank = F.struct(*sequence, *rest)
+    chosen = (F.max if keep == "last" else F.min)(rank).alias("_row")
+    return df.groupBy(*keys).agg(chosen).select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
+def contract_violations(result: DataFrame, schema: T.StructType, metrics: Iterable[str]) -> DataFrame:
+    """Rows (rule, key, detail) where a table of scored windows breaks its contract.
+
+    ``missing_column`` and ``wrong_type`` compare with ``schema``; ``unknown_metric`` names a metric outside
+    ``metrics`` and ``reversed_period`` a window that does not start before it ends. Value rules read the
+    columns that are there; a null start or end is a reversed period too.
+    """
+    spark, have = result.sparkSession, {f.name: f.dataType for f in result.schema}
+    faults = []
+    for field in schema:
+        if field.name not in have:
+            faults.append(("missing_column", field.name, field.dataType.simpleString()))
+        elif have[field.name] != field.dataType:
+            faults.append(("wrong_type", field.name, have[field.name].simpleString()))
+    parts = [spark.createDataFrame(faults, "rule string, key string, detail string")]
+
+    def rows(rule: str, where: Column, detail: Column) -> DataFrame:
+        return result.filter(where).select(
+            F.lit(rule).alias("rule"), F.col("destination_id").cast("string").alias("key"), detail.cast("string").alias("detail")
+        )
+
+    if {"destination_id", "metric"} <= have.keys():
+        known = F.coalesce(F.col("metric").isin(list(metrics)), F.lit(False))
+        parts.append(rows("unknown_metric", ~known, F.col("metric")))
+    if {"destination_id", "start_date", "end_date"} <= have.keys():
+        forward = F.coalesce(F.col("start_date") < F.col("end_date"), F.lit(False))
+        parts.append(rows("reversed_period", ~forward, F.concat_ws("..", F.col("start_date").cast("string"), F.col("end_date").cast("string"))))
+    return union(parts)
+
+
 def network_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Structure of the four input tables: present columns, rows, nulls in demand."""
     for name, required in REQUIRED.items():

@@ -17,6 +17,7 @@ ORIGINS = _table(origin_id=TEXT, daily_capacity=NUMBER)
 INITIAL_INVENTORY = _table(destination_id=TEXT, qty=NUMBER)
 FLOWS = _table(origin_id=TEXT, destination_id=TEXT, period=DAY, flow=NUMBER)
 INVENTORY = _table(destination_id=TEXT, period=DAY, inventory=NUMBER)
+SCORED_WINDOW = _table(destination_id=TEXT, model=TEXT, metric=TEXT, start_date=DAY, end_date=DAY, value=NUMBER)
 
 NETWORK = {
     "demand_history": DEMAND_HISTORY,
