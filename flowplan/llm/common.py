@@ -45,16 +45,19 @@ def worker_store(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
-def give_back_memory() -> None:
-    """Return memory that earlier tasks of this Python worker have freed to the system."""
+def give_back_memory(keep: str = "") -> None:
+    """Drop what other operators left in this Python worker, all stores but ``keep``, and return free memory to the system."""
+    stores = vars(sys.modules.get("_llm_worker_store", types.ModuleType("none")))
+    for name in [n for n in stores if not n.startswith("__") and n != keep]:
+        del stores[name]
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(AttributeError, OSError):  # the C library may lack it
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``limit`` bytes of ``column``, one row at least."""
-    give_back_memory()
+def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES, keep: str = "") -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of ``column``, one row at least; the worker's store ``keep`` stays."""
+    give_back_memory(keep)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -64,6 +67,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BY
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+    give_back_memory(keep)  # the worker may now wait for long
 
 
 def texts_of(array: pa.Array) -> list[bytes]:

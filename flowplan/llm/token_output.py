@@ -159,7 +159,7 @@ def write_shards(documents: DataFrame, tokenizer_path: str, end_id: int = 2, sha
                 names=["part", "seq", "n_docs", "n_shard_tokens", "data"],
             )
 
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 4 << 20, keep="tokenizer"):
             ids, sizes = encoder([t or "" for t in batch.column("text").to_pylist()])
             doc_ids = batch.column("doc_id")
             held.append(
