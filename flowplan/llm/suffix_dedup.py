@@ -22,7 +22,7 @@ from flowplan.llm.suffix_array import repeated_starts
 
 WINDOW = 400
 GRAM = 16
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 8 << 20
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 #: In place of a position: the batch has found the string more than once and settled its places.
 SETTLED = -1
