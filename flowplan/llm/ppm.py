@@ -86,8 +86,12 @@ class Batch:
 
 
 def _coded(rows: Iterator[pa.RecordBatch], shards: int) -> Iterator[Batch]:
-    """The same batches whenever the same rows come in the same partition; their number is a digest of them."""
-    for batch in slices(rows, "text"):
+    """The same batches whenever the same rows come in the same partition.
+
+    A batch's number is a digest of its place (partition and turn) and of what it holds, so equal
+    batches are told apart and a reading that gave other rows is noticed.
+    """
+    for turn, batch in enumerate(slices(rows, "text")):
         words, counts = tokens(batch.column("text"))
         coded = words.dictionary_encode()
         shard = _shard_of(coded.dictionary.to_pylist(), shards)
@@ -98,7 +102,7 @@ def _coded(rows: Iterator[pa.RecordBatch], shards: int) -> Iterator[Batch]:
         held, ids = np.asarray(batch.column("held_out")), batch.column("doc_id")
         docs = np.stack([np.asarray(ids.fill_null(0)), np.asarray(ids.is_valid()), held, counts]).astype(np.int64)
         index, names = rank[np.asarray(coded.indices)], coded.dictionary.take(pa.array(order))
-        number = xxh3_64_intdigest(docs.tobytes() + index.tobytes(), seed=TaskContext.get().partitionId()) >> 1
+        number = xxh3_64_intdigest(docs.tobytes() + index.tobytes(), seed=TaskContext.get().partitionId() << 32 | turn) >> 1
         yield Batch(number, docs, names, shard[order], index)
 
 

@@ -144,3 +144,18 @@ def test_tokens_of_a_slice():
     words, counts = ppm.tokens(whole.slice(7, 200))
     assert words.to_pylist() == [w for t in texts[7:207] for w in words_of(t)]
     assert counts.tolist() == [len(words_of(t)) for t in texts[7:207]]
+
+
+def test_repeated_rows_over_equal_batches(spark, docs):
+    """Rows without doc_id and with one text fill many batches that are equal in all they hold."""
+    rows = [(None, "a b c d")] * 25_000 + [(d, "a b e") for d in range(40)]
+    found = ppm.score_documents(docs(rows).repartition(2)).collect()
+    assert len(found) == 25_040
+    same_text = [r for r in found if r.doc_id is None]
+    assert len({tuple(r) for r in same_text}) == 1
+    train = Counter(w for d, t in rows if not held(d) for w in words_of(t))
+    n, coder, r = sum(train.values()), Brute(train), same_text[0]
+    assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (False, 5, 5, n)
+    assert np.isclose(r.base_score, sum(math.log10((train[x] + 0.5) / (n + 0.5 * (len(train) + 1))) for x in words_of("a b c d")), rtol=1e-9)
+    # "d" and the end follow their three tokens in all other such rows.
+    assert np.isclose(r.score, sum(coder.log(x) for x in words_of("a b c")[:3]) + 2 * math.log10(1 - 0.15 / 24_999), rtol=1e-4)
