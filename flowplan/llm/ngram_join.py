@@ -33,7 +33,7 @@ NO_ID = (1 << 63) - 1
 _SPREAD = "fragment int, batch long, owner binary, sizes binary, hashes binary, marks binary, docs binary"
 _SPREAD_NAMES = ["fragment", "batch", "owner", "sizes", "hashes", "marks", "docs"]
 _COUNTED = "batch long, unshared binary, weight binary, docs binary"
-_CLASS = "hi long, lo long, key long, n long, unshared long, weight double"
+_CLASS = "hi long, lo long, key long, n long, digest long, unshared long, weight double"
 
 
 def shingle_sets(texts: list[bytes], hasher: WordHasher, width: int = WIDTH) -> list[np.ndarray]:
@@ -138,9 +138,9 @@ def _gather(table: pa.Table) -> pa.Table:
     unshared = sum(np.frombuffer(x, np.int64) for x in table.column("unshared").to_pylist())
     weight = sum(np.frombuffer(x, np.int64) for x in table.column("weight").to_pylist())
     docs = next(x for x in table.column("docs").to_pylist() if x is not None)
-    hi, lo, key, n, place = np.frombuffer(docs, np.int64).reshape(5, -1)
-    values = [hi, lo, key, n, unshared[place], weight[place] / np.maximum(n, 1)]
-    return pa.table([pa.array(v) for v in values], names=["hi", "lo", "key", "n", "unshared", "weight"])
+    hi, lo, key, n, digest, place = np.frombuffer(docs, np.int64).reshape(6, -1)
+    values = [hi, lo, key, n, digest, unshared[place], weight[place] / np.maximum(n, 1)]
+    return pa.table([pa.array(v) for v in values], names=["hi", "lo", "key", "n", "digest", "unshared", "weight"])
 
 
 def _counted(spread: DataFrame) -> DataFrame:
@@ -165,7 +165,8 @@ def _documents(fragments: int, width: int, share: float):
                 distinct[p] = s
             key = np.asarray(batch.column("key"))
             hi, lo = (np.fromiter((s[i] for s in signs), np.int64, len(signs)) for i in (0, 1))
-            docs = np.stack([hi, lo, key, np.fromiter(map(len, sets), np.int64, len(sets)), np.asarray(place, np.int64)])
+            sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+            docs = np.stack([hi, lo, key, sizes, np.asarray(batch.column("digest")), np.asarray(place, np.int64)])
             owner = np.fromiter((s[0] for s in seen), np.int64, len(seen))
             yield _spread(part << 32 | at, fragments, share, owner, distinct, docs.tobytes())
 
@@ -180,7 +181,7 @@ def _classes(fragments: int):
         for at, batch in enumerate(slices(batches, "tokens", 4 << 20)):
             sets = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
             hi, n, label = (np.asarray(batch.column(c)) for c in ("hi", "n", "label"))
-            docs = np.stack([hi, label, label, n, np.arange(len(hi))])
+            docs = np.stack([hi, label, label, n, np.zeros(len(hi), np.int64), np.arange(len(hi))])
             # Shingles that two classes of one label share are not marks: one row per label and shingle.
             yield from _by_label(part << 32 | at, fragments, label, sets, docs)
 
@@ -362,14 +363,16 @@ def linked_classes(documents: DataFrame, percent: int = 75, width: int = WIDTH)
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("digest", F.xxhash64("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # Half of the order is enough for the first pass while a quarter unshared rules a set out.
     share = min(1.0, 2 * (100 - percent) / 100)
     fragments = _fragments(size / 6 * share)
     docs = written(_counted(rows.mapInArrow(_documents(fragments, width, share), _SPREAD)), "shingle-sets")
-    classes = docs.where("n > 0").groupBy("hi", "lo").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.min("unshared").alias("unshared"))
-    able = classes.where(100 * F.col("unshared") <= (100 - percent) * F.col("n")).select("key", "hi", "lo")
-    sets = rows.join(able, "key").mapInArrow(_token_sets(width), "hi long, lo long, n long, tokens binary")
+    classes = docs.where("n > 0").groupBy("hi", "lo").agg(F.min(F.struct("key", "digest")).alias("first"), F.max("n").alias("n"), F.min("unshared").alias("unshared"))
+    # A class is read from its first row, found by doc_id and text: rows without doc_id share one key.
+    able = classes.where(100 * F.col("unshared") <= (100 - percent) * F.col("n")).select("first.key", "first.digest", "hi", "lo")
+    sets = rows.join(able, ["key", "digest"]).mapInArrow(_token_sets(width), "hi long, lo long, n long, tokens binary")
     sets = written(sets.dropDuplicates(["hi", "lo"]), "class-sets")
     total = sets.agg(F.sum("n")).first()[0] or 0
     fragments = _fragments(total)

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -74,6 +75,17 @@ def test_empty_table_nulls_and_repeats(spark, docs):
     ]
 
 
+def test_many_rows_without_doc_id(spark, docs):
+    """5,000 rows share the missing doc_id; each pair of neighbours is linked and one text stands 1,000 times."""
+    words = [[f"g{i // 2}w{k}" for k in range(40)] + ([f"x{i}"] if i % 2 else []) for i in range(4000)]
+    rows = [(None, " ".join(w)) for w in words] + [(None, "one text that stands a thousand times")] * 1000 + [(7, "g5w0 g5w1"), (8, " ".join(words[0]))]
+    found = J.jaccard_components(docs(rows).repartition(4)).collect()
+    assert len(found) == 5002
+    named = Counter((r.n_shingles, r.component_id) for r in found if r.component_id is not None)
+    assert named == {(36, 8): 2, (37, 8): 1, (1, 7): 1}
+    assert sum(r.n_shingles == 3 for r in found) == 1000
+
+
 def test_query_over_whole_table(spark):
     rows = [tuple(r) for r in table(spark, FOLDER, "documents").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in QUERIES["op4_ngram_join"](spark, FOLDER).collect()) == brute(rows)
