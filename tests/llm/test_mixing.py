@@ -85,6 +85,28 @@ def test_odd_tables(spark, docs):
     assert len(found) == 3 and all(r.taken <= 2 * r.size for r in found)
 
 
+def test_many_sources(spark, docs):
+    """2,000 sources of one document each, more than one task or fixed plan would split."""
+    rows = [(i, "w " * (i % 9), f"s{i:04d}") for i in range(2000)]
+    check(rows, M.taken(docs(rows).repartition(3), shard_words=500).collect())
+
+
+def test_repeated_rows_meet_the_target(spark, docs):
+    rows = [(5, "a b c", "hot")] * 3000 + [(i, "d e", "cold") for i in range(300)] + [(None, "f", "other")] * 500
+    found = M.taken(docs(rows).repartition(3)).collect()
+    goal = brute_targets({"hot": 9000, "cold": 600, "other": 500})
+    got, of = Counter(), {9000: "hot", 600: "cold", 500: "other"}
+    for r in found:
+        got[of[r.source_size]] += r.taken
+        assert r.taken in (0, r.size, 2 * r.size)
+    assert len(found) == len(rows) and all(abs(got[s] - goal[s]) <= 1.5 for s in goal)
+
+
+def test_counts_come_from_the_tree(spark, docs, monkeypatch):
+    monkeypatch.setattr(M, "_tree", lambda *_: iter(()))
+    assert {r.taken for r in M.taken(docs([(i, "a b") for i in range(9)])).collect()} == {0}
+
+
 def test_query_over_whole_table(spark):
     rows = [tuple(r) for r in table(spark, FOLDER, "documents").select("doc_id", "text", "source").collect()]
     check(rows, QUERIES["op9_mixing"](spark, FOLDER).collect())
