@@ -23,7 +23,7 @@ from flowplan.llm import wavelet
 from flowplan.llm.common import slices, worker_store, written
 
 SHARD_TOKENS = 2_000_000
-#: Distinct pieces a Python worker remembers; fewer take less memory and more time.
+#: Distinct runs of letters a Python worker remembers; fewer take less memory and more time.
 PIECES = 300_000
 SHARDS = "part int, seq int, n_docs long, n_shard_tokens long, data binary"
 _READ = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
@@ -32,7 +32,7 @@ _READ = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_cr
 #: Letters, a mark, and perhaps a line end and the same again: a byte-level tokenizer cuts such a
 #: piece into these groups, whatever they hold.
 _LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
-_SHAPE = re.compile(f"( ?{_LETTERS})([.,!?;:]?)(?:(\n)({_LETTERS})([.,!?;:]?))?")
+_SHAPE = rf"\A(?P<a> ?{_LETTERS})(?P<b>[.,!?;:]?)(?:(?P<c>\n)(?P<d>{_LETTERS})(?P<e>[.,!?;:]?))?\z"
 #: A space before white space or the end: the tokenizer may join it with what stands before it.
 _UNSURE = re.compile(r" (?=\s|\Z)")
 
@@ -48,82 +48,88 @@ class CachedTokenizer:
     """Ids of whole texts from the tokenizers library.
 
     A byte-level tokenizer splits before a space that follows anything and precedes no white space,
-    so such a text's ids are those of its space-led pieces in a row; each distinct piece is encoded
-    once and kept. A text with any other space is encoded whole.
+    so such a text's ids are those of its space-led pieces in a row; each distinct piece of a batch is
+    encoded once. Plain pieces are cut into runs of letters and marks, and the ids of runs are kept
+    over batches, up to ``limit`` runs. A text with any other space is encoded whole.
     """
 
     def __init__(self, path: str, limit: int = PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.model, self.symbols, self.runs = self.tokenizer.model, _byte_symbols(), {}
-        self.pieces: dict[str, int] = {}
-        self.ids, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _encode(self, pieces: list) -> list[list[int]]:
-        """Ids of new pieces: by the tokenizer's model for known letter runs, else by the whole tokenizer."""
-        out, whole, runs, tokenize = [None] * len(pieces), [], self.runs, self.model.tokenize
-        for i, piece in enumerate(pieces):
-            text = piece[0] if type(piece) is tuple else " " + piece
-            if not text:
-                out[i] = []
-                continue
-            shape = _SHAPE.fullmatch(text)
-            if shape is None:
-                whole.append((i, text))
-                continue
-            ids = []
-            for part in shape.groups():
-                if not part:
-                    continue
-                known = runs.get(part)
-                if known is None:
-                    known = tuple([t.id for t in tokenize(part.encode().decode("latin-1").translate(self.symbols))])
-                    if len(runs) < 2 * self.limit:
-                        runs[part] = known
-                ids += known
-            out[i] = ids
+        self.model, self.symbols = self.tokenizer.model, _byte_symbols()
+        self.runs: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _run(self, run: str) -> list[int]:
+        """Ids of a run of letters or a mark, which the tokenizer's model merges as one."""
+        shown = run.replace(" ", self.symbols[32]).replace("\n", self.symbols[10]) if run.isascii() else run.encode().decode("latin-1").translate(self.symbols)
+        return [t.id for t in self.model.tokenize(shown)]
+
+    def _known(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The index of each of the distinct ``runs`` in two arrays, all ids in a row and the sizes; what has room is kept."""
+        new = [r for r in runs if r not in self.runs]
+        found = list(map(self._run, new))
+        sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), np.int64, len(new))])
+        ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(sizes[len(self.sizes) :].sum()))])
+        old, room = len(self.runs), max(0, self.limit - len(self.runs))
+        beyond = {r: old + room + i for i, r in enumerate(new[room:])}
+        self.runs.update(zip(new[:room], range(old, old + room), strict=False))
+        if len(self.runs) > old:
+            self.sizes = sizes[: len(self.runs)]
+            self.ids = ids[: int(self.sizes.sum())]
+        get, other = self.runs.get, beyond.get
+        index = np.fromiter((other(r) if (k := get(r)) is None else k for r in runs), np.int64, len(runs))
+        return index, ids, sizes
+
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``pieces`` in a row, and how many each has."""
+        shapes = pa.compute.extract_regex(pieces, _SHAPE)
+        other = np.flatnonzero(np.asarray(shapes.is_null()))
+        parts = [shapes.field(k).dictionary_encode() for k in range(shapes.type.num_fields)]
+        table = pa.chunked_array([p.dictionary for p in parts]).combine_chunks().dictionary_encode()
+        code, at, columns = np.asarray(table.indices), 0, []
+        for p in parts:
+            columns.append(code[at:][np.asarray(p.indices.fill_null(0))])
+            at += len(p.dictionary)
+        index, ids, sizes = self._known(table.dictionary.to_pylist())
+        grid = index[np.stack(columns, 1)]
+        grid_sizes = sizes[grid]
+        grid_sizes[other] = 0
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for at in range(0, len(whole), 20_000):
-            block = whole[at : at + 20_000]
-            for (i, _), e in zip(block, encode([t for _, t in block], add_special_tokens=False), strict=True):
-                out[i] = e.ids
-        return out
+        whole = [e.ids for e in encode(pieces.take(pa.array(other)).to_pylist(), add_special_tokens=False)]
+        # What was encoded whole follows the runs' ids and stands in a row's first place.
+        starts = (np.cumsum(sizes) - sizes)[grid]
+        whole_sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+        starts[other, 0] = len(ids) + np.cumsum(whole_sizes) - whole_sizes
+        grid_sizes[other, 0] = whole_sizes
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(whole), np.int32, int(whole_sizes.sum()))])
+        return _gathered(ids, starts.ravel(), grid_sizes.ravel()), grid_sizes.sum(1)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and how many each text has.
-
-        A piece is a word with the space before it; what no space leads is held as a tuple.
-        """
+        """All ids in a row, and how many each text has."""
         whole = [bool(_UNSURE.search(t)) for t in texts]
         lists = pa.compute.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole, strict=True)], pa.large_string()), " ")
         heads = np.asarray(lists.offsets)[:-1].astype(np.int64)
         coded = lists.values.dictionary_encode()
-        words, code = coded.dictionary.to_pylist(), np.asarray(coded.indices)
-        first = [(t if w else words[c],) for t, w, c in zip(texts, whole, code[heads].tolist(), strict=True)]
-        known, at, old = self.pieces, len(self.ids), len(self.starts)
-        new = list({p: None for p in chain(words, first) if p not in known})
-        if new:
-            encoded = self._encode(new)
-            sizes = np.fromiter(map(len, encoded), np.int64, len(new))
-            known.update(zip(new, range(old, old + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))])
-            self.starts = np.concatenate([self.starts, at + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-        index = np.fromiter(map(known.__getitem__, words), np.int64, len(words))[code]
-        index[heads] = np.fromiter(map(known.__getitem__, first), np.int64, len(first))
-        counts = np.diff(np.append(heads, len(index)))
-        sizes = self.sizes[index]
-        ends = np.cumsum(sizes)
-        gather = np.repeat(self.starts[index] - (ends - sizes), sizes)
-        gather += np.arange(len(gather))
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        found = self.ids[gather]
-        if len(known) > self.limit:  # full: forget this batch's
-            for piece in new:
-                del known[piece]
-            self.ids, self.starts, self.sizes = self.ids[:at], self.starts[:old], self.sizes[:old]
-        return found, np.diff(edges)
+        words, code = coded.dictionary, np.asarray(coded.indices).astype(np.int64)
+        # A piece is a word with the space before it; what no space leads is a piece of its own.
+        first = [t if w else t[: k if (k := t.find(" ")) >= 0 else None] for t, w in zip(texts, whole, strict=True)]
+        led = pa.compute.binary_join_element_wise(pa.scalar(" ", pa.large_string()), words, pa.scalar("", pa.large_string()))
+        pieces = pa.chunked_array([led, pa.array(first, pa.large_string())]).combine_chunks()
+        ids, piece_sizes = self._encode(pieces)
+        code[heads] = len(words) + np.arange(len(texts))
+        sizes = piece_sizes[code]
+        found = _gathered(ids, (np.cumsum(piece_sizes) - piece_sizes)[code], sizes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return found, np.diff(ends[np.append(heads, len(code))])
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` at ``starts`` in a row."""
+    place = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    place += np.arange(len(place))
+    return ids[place]
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
@@ -178,6 +184,63 @@ def write_shards(documents: DataFrame, tokenizer_path: str, end_id: int = 2, sha
     return written(placed.mapInArrow(encode, SHARDS), "token-shards")
 
 
+def shard_bases(shards: DataFrame) -> DataFrame:
+    """part, seq and base, the tokens before each shard: one row per file, summed in order."""
+    before = W.orderBy("part", "seq").rowsBetween(W.unboundedPreceding, -1)
+    return shards.select("part", "seq", F.coalesce(F.sum("n_shard_tokens").over(before), F.lit(0)).alias("base"))
+
+
+def occurrences(shards: DataFrame, token: int) -> DataFrame:
+    """Every position of ``token`` in the corpus, counted from zero over all shards in order.
+
+    A shard is asked by rank and select and unpacks only the blocks on the way. A token that does
+    not occur, and an empty table, give no rows.
+    """
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, seq, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                matrix = wavelet.load(data)[0]
+                found = [matrix.select(token, k) for k in range(matrix.rank(token, matrix.size))]
+                n = len(found)
+                columns = [pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array(found, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "seq", "place"])
+
+    places = shards.select("part", "seq", "data").mapInArrow(find, "part int, seq int, place long")
+    return places.join(shard_bases(shards), ["part", "seq"]).select((F.col("base") + F.col("place")).alias("position"))
+
+
+def tokens_at(shards: DataFrame, positions: DataFrame) -> DataFrame:
+    """position and token for each row of ``positions`` (position long); null where the corpus has none.
+
+    Positions meet their shard by its range of tokens, cut into steps of ``SHARD_TOKENS``, and are read by
+    access. Null and repeated positions keep their rows; other columns are ignored.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, out = batch.column("places").to_pylist(), []
+            for data, asked in zip(batch.column("data").to_pylist(), places, strict=True):
+                matrix = wavelet.load(data)[0]
+                out.append([matrix.access(i) for i in asked])
+            columns = [batch.column("base"), batch.column("places"), pa.array(out, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["base", "places", "tokens"])
+
+    asked = positions.select(F.col("position").cast("long").alias("position"))
+    step = F.lit(SHARD_TOKENS)
+    files = shards.select("part", "seq", "n_shard_tokens").join(shard_bases(shards), ["part", "seq"]).where("n_shard_tokens > 0")
+    last = F.col("base") + F.col("n_shard_tokens") - 1
+    ranges = files.select("part", "seq", "base", last.alias("last"), F.explode(F.sequence(F.floor(F.col("base") / step), F.floor(last / step))).alias("step"))
+    wanted = asked.where("position >= 0").distinct().withColumn("step", F.floor(F.col("position") / step))
+    met = wanted.join(ranges, "step").where(F.col("position").between(F.col("base"), F.col("last")))
+    # A shard has a bounded number of tokens, and so of distinct positions.
+    per_file = met.groupBy("part", "seq", "base").agg(F.collect_list(F.col("position") - F.col("base")).alias("places"))
+    read_rows = per_file.join(shards.select("part", "seq", "data"), ["part", "seq"]).select("base", "places", "data").mapInArrow(read, "base long, places array<long>, tokens array<long>")
+    pair = read_rows.select("base", F.explode(F.arrays_zip("places", "tokens")).alias("p"))
+    found = pair.select((F.col("base") + F.col("p.places")).alias("position"), F.col("p.tokens").alias("token"))
+    return asked.join(found, "position", "left")
+
+
 def read_shards(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the shard files."""
 
@@ -203,11 +266,8 @@ def read_shards(shards: DataFrame) -> DataFrame:
                     names=["part", "seq", "doc_id", "local_start", "n_tokens", "ids_crc32"],
                 )
 
-    # One row per shard file is summed in order; the files themselves are read in parallel.
-    before = W.orderBy("part", "seq").rowsBetween(W.unboundedPreceding, -1)
-    bases = shards.select("part", "seq", F.coalesce(F.sum("n_shard_tokens").over(before), F.lit(0)).alias("base"))
     docs = shards.select("part", "seq", "data").mapInArrow(decode, _READ)
-    return docs.join(bases, ["part", "seq"]).select(
+    return docs.join(shard_bases(shards), ["part", "seq"]).select(
         "doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32"
     )
 

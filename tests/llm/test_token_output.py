@@ -54,3 +54,60 @@ def test_query_over_whole_table(spark):
     rows = [tuple(r) for r in table(spark, FOLDER, "documents").select("doc_id", "text").collect()]
     found = QUERIES["op3_token_output"](spark, FOLDER).collect()
     assert sorted(tuple(r) for r in found) == brute(rows)
+
+
+def test_lookups_read_only_their_blocks():
+    rng = np.random.default_rng(5)
+    ids = rng.zipf(1.3, 1_200_000).clip(1, 40_000).astype(np.int32)
+    data = wavelet.dump(wavelet.WaveletMatrix.of(ids), np.asarray([7]), np.asarray([True]), np.asarray([len(ids)]))
+    read = []
+
+    def ranged(start, end):
+        read.append((start, end))
+        return data[start:end]
+
+    file = wavelet.WaveletFile(ranged)
+    levels, planes = len(file.matrix.zeros), sum(file.edges[7 + 2 * k] - file.edges[6 + 2 * k] for k in range(len(file.matrix.zeros)))
+    for i in (0, 65_535, 65_536, 65_537, 700_001, len(ids) - 1):
+        read.clear()
+        file.matrix._kept.clear()
+        assert file.matrix.access(i) == ids[i]
+        assert len(read) <= 2 * levels and 8 * sum(b - a for a, b in read) < planes
+        token, before = int(ids[i]), int((ids[:i] == ids[i]).sum())
+        read.clear()
+        file.matrix._kept.clear()
+        assert file.matrix.rank(token, i) == before and file.matrix.select(token, before) == i
+        assert len(read) <= 6 * levels
+    with pytest.raises(ValueError):
+        wavelet.load(b"none" + data[4:])
+
+
+def test_lookups_over_shards(spark, docs):
+    rows = [(i, f"word {i % 7} and <|endoftext|> again" * (1 + i % 3)) for i in range(300)] + [(5, "word"), (None, None)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        shards = T.write_shards(docs(rows), T.tokenizer_file(), shard_tokens=500)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    tokenizer, ids = Tokenizer.from_file(T.tokenizer_file()), []
+    for _, text in sorted(rows, key=lambda r: (r[0] is None, r[0], r[1] or "")):
+        ids += [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+    assert shards.count() > 3
+    for token in (2, ids[0], ids[len(ids) // 2], 49_999):
+        assert sorted(r.position for r in T.occurrences(shards, token).collect()) == [i for i, x in enumerate(ids) if x == token]
+    asked = [0, 1, 499, 500, len(ids) - 1, len(ids), -1, None, 1]
+    made = spark.createDataFrame([(p, "x") for p in asked], "position long, token string")
+    found = [tuple(r) for r in T.tokens_at(shards, made).collect()]
+    inside = [(p, ids[p] if p is not None and 0 <= p < len(ids) else None) for p in asked]
+    assert sorted(found, key=str) == sorted(inside, key=str)
+    empty = T.write_shards(docs([]), T.tokenizer_file())
+    assert T.occurrences(empty, 2).count() == 0 and [tuple(r) for r in T.tokens_at(empty, made.limit(1)).collect()] == [(0, None)]
+
+
+def test_plain_pieces_and_full_stores():
+    whole, few = T.CachedTokenizer(T.tokenizer_file()), T.CachedTokenizer(T.tokenizer_file(), 3)
+    texts = ["", "a", " a", "one two, three\nfour. five", "one\n", "a\nb\nc d", "x\u0130 \u00e9t\u00e9, na\u00efve;\n\u0141\u00f3d\u017a", "\ud55c\uad6d 12ab c3", "two  spaces", "ends ", "one two, three"]
+    tokenizer = Tokenizer.from_file(T.tokenizer_file())
+    for encoder in (whole, few, whole, few):
+        ids, sizes = encoder(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
