@@ -7,6 +7,7 @@ commit keeps shards whole when tasks are retried, on any store Spark can write t
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -54,6 +55,8 @@ class CachedTokenizer:
     """
 
     def __init__(self, path: str, limit: int = PIECES):
+        # Spark's tasks fill the cores; threads inside a worker would only take turns.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -165,7 +168,7 @@ def write_shards(documents: DataFrame, tokenizer_path: str, end_id: int = 2, sha
                 names=["part", "seq", "n_docs", "n_shard_tokens", "data"],
             )
 
-        for batch in slices(batches, "text", 4 << 20, keep="tokenizer"):
+        for batch in slices(batches, "text", keep="tokenizer"):
             ids, sizes = encoder([t or "" for t in batch.column("text").to_pylist()])
             doc_ids = batch.column("doc_id")
             held.append(
