@@ -61,7 +61,7 @@ class CachedTokenizer:
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.model, self.symbols = self.tokenizer.model, _byte_symbols()
-        self.runs: dict[str, int] = {}
+        self.runs = pa.array([], pa.large_string())
         self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def _run(self, run: str) -> list[int]:
@@ -69,20 +69,21 @@ class CachedTokenizer:
         shown = run.replace(" ", self.symbols[32]).replace("\n", self.symbols[10]) if run.isascii() else run.encode().decode("latin-1").translate(self.symbols)
         return [t.id for t in self.model.tokenize(shown)]
 
-    def _known(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _known(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The index of each of the distinct ``runs`` in two arrays, all ids in a row and the sizes; what has room is kept."""
-        new = [r for r in runs if r not in self.runs]
-        found = list(map(self._run, new))
-        sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), np.int64, len(new))])
-        ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(sizes[len(self.sizes) :].sum()))])
-        old, room = len(self.runs), max(0, self.limit - len(self.runs))
-        beyond = {r: old + room + i for i, r in enumerate(new[room:])}
-        self.runs.update(zip(new[:room], range(old, old + room), strict=False))
-        if len(self.runs) > old:
-            self.sizes = sizes[: len(self.runs)]
-            self.ids = ids[: int(self.sizes.sum())]
-        get, other = self.runs.get, beyond.get
-        index = np.fromiter((other(r) if (k := get(r)) is None else k for r in runs), np.int64, len(runs))
+        found = pa.compute.index_in(runs, value_set=self.runs)
+        unseen = np.asarray(found.is_null())
+        new = runs.filter(pa.array(unseen))
+        made = list(map(self._run, new.to_pylist()))
+        sizes = np.concatenate([self.sizes, np.fromiter(map(len, made), np.int64, len(made))])
+        ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.int32, int(sizes[len(self.sizes) :].sum()))])
+        index = np.asarray(found.fill_null(0)).astype(np.int64)
+        index[unseen] = len(self.runs) + np.arange(len(new))
+        room = self.limit - len(self.runs)
+        if room > 0 and len(new):
+            self.runs = pa.concat_arrays([self.runs, new[:room]])
+            self.sizes = sizes[: len(self.runs)].copy()
+            self.ids = ids[: int(self.sizes.sum())].copy()
         return index, ids, sizes
 
     def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -90,13 +91,13 @@ class CachedTokenizer:
         shapes = pa.compute.extract_regex(pieces, _SHAPE)
         other = np.flatnonzero(np.asarray(shapes.is_null()))
         parts = [shapes.field(k).dictionary_encode() for k in range(shapes.type.num_fields)]
-        table = pa.chunked_array([p.dictionary for p in parts]).combine_chunks().dictionary_encode()
-        code, at, columns = np.asarray(table.indices), 0, []
-        for p in parts:
-            columns.append(code[at:][np.asarray(p.indices.fill_null(0))])
+        table = pa.chunked_array([pa.array([""], pa.large_string()), *(p.dictionary for p in parts)]).combine_chunks().dictionary_encode()
+        index, ids, sizes = self._known(table.dictionary)
+        index, at = index[np.asarray(table.indices)], 1
+        grid = np.zeros((len(pieces), len(parts)), np.int64)
+        for k, p in enumerate(parts):
+            grid[:, k] = index[np.asarray(pa.compute.add(p.indices, at).fill_null(0))]  # place 0 is the empty run
             at += len(p.dictionary)
-        index, ids, sizes = self._known(table.dictionary.to_pylist())
-        grid = index[np.stack(columns, 1)]
         grid_sizes = sizes[grid]
         grid_sizes[other] = 0
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)

@@ -108,6 +108,7 @@ def test_plain_pieces_and_full_stores():
     whole, few = T.CachedTokenizer(T.tokenizer_file()), T.CachedTokenizer(T.tokenizer_file(), 3)
     texts = ["", "a", " a", "one two, three\nfour. five", "one\n", "a\nb\nc d", "x\u0130 \u00e9t\u00e9, na\u00efve;\n\u0141\u00f3d\u017a", "\ud55c\uad6d 12ab c3", "two  spaces", "ends ", "one two, three"]
     tokenizer = Tokenizer.from_file(T.tokenizer_file())
+    assert [x.tolist() for x in whole(["", " ", ""])] == [tokenizer.encode(" ", add_special_tokens=False).ids, [0, 1, 0]]
     for encoder in (whole, few, whole, few):
         ids, sizes = encoder(texts)
         assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
