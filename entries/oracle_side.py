@@ -679,10 +679,17 @@ oracle(
         FROM lag_shares CROSS JOIN tight_origins""",
     alloc_kpis=f"""
         SELECT {r("c", 2)} AS transportation_cost, 0.0::DOUBLE AS holding_cost, {r("c", 2)} AS total_cost,
-               {r("100 * short / wanted", 6)} AS unmet_demand_pct, 0.0::DOUBLE AS infeasibility_rate
-        FROM (SELECT sum(shortage) AS short, sum(demand) AS wanted FROM lag_alloc),
+               {r("100 * short / wanted", 6)} AS unmet_demand_pct, infeasibility_rate
+        FROM (SELECT avg(CASE WHEN daily_capacity * over > 1e-6 THEN 1.0 ELSE 0.0 END)::DOUBLE AS infeasibility_rate
+              FROM (SELECT date, sum(share) - 1 AS over FROM lag_shares GROUP BY date) CROSS JOIN tight_origins),
+             (SELECT sum(shortage) AS short, sum(demand) AS wanted FROM lag_alloc),
              (SELECT sum(share * unit_cost * daily_capacity) AS c FROM lag_shares
               JOIN routes USING (destination_id) JOIN tight_origins USING (origin_id))""",
+    alloc_overbooked=f"""
+        SELECT {r("avg(CASE WHEN daily_capacity * (booked * total / mean - 1) > 1e-6 THEN 1.0 ELSE 0.0 END)", 9)} AS infeasibility_rate
+        FROM (SELECT date, sum(share) AS booked FROM lag_shares GROUP BY date)
+        JOIN (SELECT date, sum(demand) AS total, avg(sum(demand)) OVER () AS mean FROM months GROUP BY date) USING (date)
+        CROSS JOIN tight_origins""",
     planning_metrics=f"""
         SELECT scenario, coalesce(good, 0) AS n_successful_destinations,
                coalesce(bad, 0) AS n_failed_destinations,

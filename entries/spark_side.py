@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from flowplan.config import METRICS, ForecastConfig, ScenarioConfig
 from flowplan.functions.columns import one_row
 from flowplan.operators import evaluation, panel, quality
-from flowplan.operators.allocation import allocate
+from flowplan.operators.allocation import Allocation, allocate
 from flowplan.operators.arima import arima
 from flowplan.operators.models import (
     MULTI_STEP,
@@ -579,6 +579,18 @@ def alloc_kpis(net):
     )
 
 
+@query
+def alloc_overbooked(net):
+    """Share of cells above capacity when every month ships its demand relative to the mean month."""
+    demand = months(net)
+    plan = allocate(lag_signal(net, demand), net.origins_tight())
+    totals = cut_lineage(demand.groupBy("date").agg(F.sum("demand").alias("total")))
+    load = F.col("total") / totals.agg(F.avg("total")).scalar()
+    shares = plan.shares.join(totals, "date").withColumn("share", F.col("share") * load)
+    rate = Allocation(shares.select("destination_id", "t", "date", "share"), plan.origins).infeasibility_rate()
+    return rate.select(rounded("infeasibility_rate", 9))
+
+
 def lag_flows(net, demand: DataFrame) -> DataFrame:
     wanted = demand_of(lag_signal(net, demand))
     return cut_lineage(slack_flows(wanted.required(), net.lanes()))
