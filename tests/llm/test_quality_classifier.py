@@ -51,3 +51,20 @@ def test_fit_prefers_the_better_feature():
     ranking = quality.fit(good, bad, 0.4)
     assert np.argmax(np.abs(ranking.weights)) == 2
     assert (ranking.score(good) >= quality.CUT).mean() > 0.97 and (ranking.score(bad) < quality.CUT).mean() > 0.97
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    """Copies of one row move the mean of all features, however many there are."""
+    good, bad = "A plain sentence of some words, as people write them.", "### || ## ||"
+    rows = [(i, good if i % 4 else bad) for i in range(24_000)]
+    rows += [(i, "other words 12 34") for i in range(24_000, 40_000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = documents.selectExpr("doc_id", "cast(doc_id >= 24000 OR doc_id % 4 <> 0 AS int) AS quality")
+    learned = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    x = quality.features([good.encode(), bad.encode(), b"other words 12 34"]).astype(np.float32).astype(float)
+    kind = [2 if i >= 24_000 else int(i % 4 == 0) for i in learned]
+    ranking = quality.learn(documents, labels)
+    # Pairs over a line end between texts depend on the text after it, so only the other figures are compared.
+    np.testing.assert_allclose(ranking.mean[-6:], x[kind].mean(0)[-6:], atol=1e-6)
+    found = quality.score_documents(documents, labels).collect()
+    assert all(r.predicted == int(r.doc_id >= 24_000 or r.doc_id % 4 != 0) for r in found)
