@@ -159,3 +159,18 @@ def test_repeated_rows_over_equal_batches(spark, docs):
     assert np.isclose(r.base_score, sum(math.log10((train[x] + 0.5) / (n + 0.5 * (len(train) + 1))) for x in words_of("a b c d")), rtol=1e-9)
     # "d" and the end follow their three tokens in all other such rows.
     assert np.isclose(r.score, sum(coder.log(x) for x in words_of("a b c")[:3]) + 2 * math.log10(1 - 0.15 / 24_999), rtol=1e-4)
+
+
+def test_the_texts_are_read_four_times(spark, docs, tmp_path):
+    folder = str(tmp_path)
+
+    def counted(batches):
+        for batch in batches:
+            with open(f"{folder}/reads", "a") as log:
+                log.write("x" * batch.num_rows)
+            yield batch
+
+    documents = docs([(i, f"w{i % 7} and some more words {i}") for i in range(40)])
+    assert ppm.score_documents(documents.mapInArrow(counted, documents.schema)).count() == 40
+    # Once for its size, once each for the words, the places and the contexts of its tokens.
+    assert (tmp_path / "reads").read_text() == "x" * 160
