@@ -5,9 +5,11 @@ of the order counts per document the shingles that no other set has: with more t
 set it can link to nothing, whatever the other half holds. Equal sets are one class from there on.
 Each remaining class is compared with the most central class of its min-hash buckets, and the links
 found give groups. Then a class takes part only while three quarters of its shingles are shared
-with other groups, and pairs of different groups are counted per fragment and summed. A fragment
-leaves out a pair only when what differs there and the histograms of the rest already exclude a link,
-so no link between groups is lost, and pairs inside a group are never listed.
+with other groups. Its shingles are put in one order for all classes, the rarest first; a fragment
+lists the pairs of different groups that share a shingle early enough in both for a link. So no link
+between groups is lost, a shingle of very many classes costs only the pairs it may link, and pairs of
+the group that has a shingle most often are never listed. Of the listed pairs, the overlaps of those
+whose histograms allow a link are counted by fragment and summed.
 """
 
 from __future__ import annotations
@@ -29,10 +31,15 @@ FRAGMENT = 1 << 21
 BANDS = 4
 #: Ranges of the order in the histograms that bound what two sets differ in.
 BINS = 256
+#: Pairs a fragment looks at in one go, about.
+LISTED = 1 << 20
 NO_ID = (1 << 63) - 1
-_SPREAD = "fragment int, batch long, owner binary, sizes binary, hashes binary, marks binary, docs binary"
-_SPREAD_NAMES = ["fragment", "batch", "owner", "sizes", "hashes", "marks", "docs"]
-_COUNTED = "batch long, unshared binary, weight binary, docs binary"
+_SPREAD = "fragment int, batch long, place binary, owner binary, sizes binary, hashes binary, marks binary, docs binary"
+_SPREAD_NAMES = ["fragment", "batch", "place", "owner", "sizes", "hashes", "marks", "docs"]
+_SPREAD_TYPES = {"place": np.int32, "owner": np.int64, "sizes": np.int32, "hashes": np.uint32, "marks": np.uint32}
+_COUNTED = "batch long, place binary, shared binary, repeats binary, docs binary"
+_OFTEN = "batch long, place binary, token binary, often binary, docs binary"
+_EARLY = "fragment int, token long, at long, hi long, n long, label long"
 _CLASS = "hi long, lo long, key long, n long, digest long, unshared long, weight double"
 
 
@@ -53,93 +60,113 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(a.sum(dtype=np.uint64).view(np.int64)), int(b.sum(dtype=np.uint64).view(np.int64))
 
 
-def _spread(batch: int, fragments: int, share: float, owner: np.ndarray, sets: list[np.ndarray], docs: bytes) -> pa.RecordBatch:
-    """One row per fragment: for each set its shingles there. A shingle of several sets goes once, as a mark."""
+def _spread(batch: int, fragments: int, share: float, owner: np.ndarray, sets: list[np.ndarray], docs: np.ndarray, marked: bool) -> pa.RecordBatch:
+    """One row per fragment: the sets with shingles there and these; the first with ``docs`` and the number of shingles sent for each.
+
+    If ``marked``, a shingle of several sets goes once, as a mark. ``docs`` ends with the place of its set.
+    """
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    all_hashes = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    place = np.repeat(np.arange(len(sets)), sizes)
+    hashes = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    place = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     span = (1 << 64) * share / fragments
     if share < 1:
-        inside = all_hashes < np.uint64(int((1 << 64) * share))
-        all_hashes, place = all_hashes[inside], place[inside]
-    order = np.argsort(all_hashes, kind="stable")
-    hashes, place = all_hashes[order], place[order]
-    first = np.ones(len(hashes), bool)
-    first[1:] = hashes[1:] != hashes[:-1]
-    single = first & np.append(first[1:], True) if len(hashes) else first
-    mark = hashes[first & ~single]
-    hashes, place = hashes[single], place[single]
-    fragment = np.minimum((hashes / span).astype(np.int64), fragments - 1)
-    mark_fragment = np.minimum((mark / span).astype(np.int64), fragments - 1)
-    edges, mark_edges = (np.searchsorted(f, np.arange(fragments + 1)) for f in (fragment, mark_fragment))
-    rows = [[] for _ in _SPREAD_NAMES]
+        inside = hashes < np.uint64(int((1 << 64) * share))
+        hashes, place = hashes[inside], place[inside]
+    mark = np.zeros(0, np.uint64)
+    if marked:
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        first = np.ones(len(ordered), bool)
+        first[1:] = ordered[1:] != ordered[:-1]
+        single = first & np.append(first[1:], True) if len(ordered) else first
+        mark = ordered[first & ~single]
+        alone = np.empty(len(hashes), bool)
+        alone[order] = single
+        hashes, place = hashes[alone], place[alone]
+    sent = np.bincount(place, minlength=len(sets))
+    docs = np.vstack([docs, sent[docs[-1]]]).astype(np.int64).tobytes()
+    # Few enough fragments for 16 bits are sorted by counting.
+    fragment, mark_fragment = (np.minimum((x / span).astype(np.int64), fragments - 1) for x in (hashes, mark))
+    turn = np.argsort(fragment.astype(np.uint16) if fragments <= 1 << 16 else fragment, kind="stable")
+    fragment, hashes, place = fragment[turn], hashes[turn].astype(np.uint32), place[turn]
+    new = np.ones(len(place), bool)
+    new[1:] = (place[1:] != place[:-1]) | (fragment[1:] != fragment[:-1])
+    starts = np.flatnonzero(new)
+    here = place[starts]
+    cells = {"place": here, "owner": owner[here], "sizes": np.diff(np.append(starts, len(place))).astype(np.int32), "hashes": hashes, "marks": mark.astype(np.uint32)}
+    each = np.arange(fragments + 1)
+    set_edges, edges, mark_edges = (np.searchsorted(f, each) for f in (fragment[starts], fragment, mark_fragment))
+    used = (np.diff(edges) > 0) | (np.diff(mark_edges) > 0)
     home = batch % fragments
-    for f in range(fragments):
-        a, b, c, d = *edges[f : f + 2].tolist(), *mark_edges[f : f + 2].tolist()
-        if a == b and c == d and f != home:
-            continue
-        turn = np.argsort(place[a:b], kind="stable")
-        values = [
-            f,
-            batch,
-            owner.tobytes(),
-            np.bincount(place[a:b], minlength=len(sets)).astype(np.int32).tobytes(),
-            hashes[a:b][turn].astype(np.uint32).tobytes(),
-            mark[c:d].astype(np.uint32).tobytes(),
-            docs if f == home else None,
-        ]
-        for column, value in zip(rows, values, strict=True):
-            column.append(value)
-    types = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
-    return pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types, strict=True)], names=_SPREAD_NAMES)
+    used[home] = True
+    rows = np.flatnonzero(used)
+    columns = [pa.array(rows.astype(np.int32)), pa.array(np.full(len(rows), batch))]
+    for name, values in cells.items():
+        at = {"hashes": edges, "marks": mark_edges}.get(name, set_edges)
+        columns.append(pa.array([values[a:b].tobytes() for a, b in zip(at[rows].tolist(), at[rows + 1].tolist(), strict=True)], pa.binary()))
+    columns.append(pa.array([docs if f == home else None for f in rows.tolist()], pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, names=_SPREAD_NAMES)
 
 
-def _count(table: pa.Table) -> pa.Table:
-    """Per batch and set of a fragment: shingles no other owner has, and how often its shingles occur.
+def _joined(table: pa.Table, column: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column in one array, and where each row begins and ends in it."""
+    cells = table.column(column).to_pylist()
+    lengths = np.fromiter(map(len, cells), np.int64, len(cells)) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(cells), kind), np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _cells(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    return pa.array([values[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)], pa.binary())
+
+
+def _occurrences(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a fragment, for each shingle sent: how often it occurs, and whether another owner has it; then its set, and the sets' edges.
 
     The lower half of a hash tells shingles of a fragment apart; a chance collision only makes a
     shingle count as shared, which keeps a document in.
     """
-    owner, sizes, hashes, marks = (
-        [np.frombuffer(x, t) for x in table.column(c).to_pylist()]
-        for c, t in (("owner", np.int64), ("sizes", np.int32), ("hashes", np.uint32), ("marks", np.uint32))
-    )
-    values = np.concatenate([*hashes, *marks])
-    owners = np.concatenate([np.repeat(o, s) for o, s in zip(owner, sizes, strict=True)])
-    n = len(owners)
-    order = np.argsort(values, kind="stable")
-    new = np.ones(len(values), bool)
-    new[1:] = values[order[1:]] != values[order[:-1]]
-    group = np.empty(len(values), np.int64)
-    group[order] = np.cumsum(new) - 1
-    total = int(group.max()) + 1 if len(group) else 0
-    low, high = np.full(total, NO_ID), np.full(total, -NO_ID)
-    np.minimum.at(low, group[:n], owners)
-    np.maximum.at(high, group[:n], owners)
-    shared = low < high
-    shared[group[n:]] = True
-    count = np.bincount(group, minlength=total)
-    alone, often = ~shared[group[:n]], count[group[:n]]
-    unshared, weight, at = [], [], 0
-    for s in sizes:
-        ends = np.concatenate([[0], np.cumsum(s)]) + at
-        for x, out in ((alone, unshared), (often, weight)):
-            sums = np.concatenate([[0], np.cumsum(x[at : ends[-1]])])
-            out.append(np.diff(sums[ends - at]).astype(np.int64).tobytes())
-        at = int(ends[-1])
-    return pa.table(
-        [table.column("batch"), pa.array(unshared, pa.binary()), pa.array(weight, pa.binary()), table.column("docs")],
-        names=["batch", "unshared", "weight", "docs"],
-    )
+    (owner, edges), (sizes, _), (hashes, _), (marks, _) = (_joined(table, c, _SPREAD_TYPES[c]) for c in ("owner", "sizes", "hashes", "marks"))
+    entry = np.repeat(np.arange(len(owner)), sizes)
+    n, values = len(hashes), np.concatenate([hashes, marks])
+    order = np.argsort(values)
+    ordered = values[order]
+    first = np.ones(len(ordered), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    group = np.cumsum(first) - 1
+    count = np.bincount(group)
+    owners = np.concatenate([owner[entry], np.zeros(len(marks), np.int64)])[order]
+    several = np.zeros(len(count), bool)
+    several[group[1:][~first[1:] & (owners[1:] != owners[:-1])]] = True
+    several[group[order >= n]] = True
+    often, shared = np.empty(len(values), np.int64), np.empty(len(values), bool)
+    often[order], shared[order] = count[group], several[group]
+    return often[:n], shared[:n], entry, edges
+
+
+def _count(table: pa.Table) -> pa.Table:
+    """Per batch and set of a fragment: the shingles another owner has, and how often its shingles occur beside once; without sets that have neither."""
+    often, shared, entry, edges = _occurrences(table)
+    place, _ = _joined(table, "place", np.int32)
+    sums = [np.bincount(entry, weights=x, minlength=len(place)).astype(np.int64) for x in (shared, often - 1)]
+    told = (sums[0] > 0) | (sums[1] > 0)
+    edges = np.concatenate([[0], np.cumsum(told)])[edges]
+    cells = [_cells(x[told], edges) for x in (place, *sums)]
+    return pa.table([table.column("batch"), *cells, table.column("docs")], names=["batch", "place", "shared", "repeats", "docs"])
+
+
+def _docs(table: pa.Table) -> np.ndarray:
+    """hi, lo, key, n, digest, place and the shingles sent of every document of a batch."""
+    return np.frombuffer(next(x for x in table.column("docs").to_pylist() if x is not None), np.int64).reshape(7, -1)
 
 
 def _gather(table: pa.Table) -> pa.Table:
     """The sums over all fragments for every document of a batch."""
-    unshared = sum(np.frombuffer(x, np.int64) for x in table.column("unshared").to_pylist())
-    weight = sum(np.frombuffer(x, np.int64) for x in table.column("weight").to_pylist())
-    docs = next(x for x in table.column("docs").to_pylist() if x is not None)
-    hi, lo, key, n, digest, place = np.frombuffer(docs, np.int64).reshape(6, -1)
-    values = [hi, lo, key, n, digest, unshared[place], weight[place] / np.maximum(n, 1)]
+    hi, lo, key, n, digest, place, sent = _docs(table)
+    at, _ = _joined(table, "place", np.int32)
+    shared, repeats = (
+        np.bincount(at, weights=_joined(table, c, np.int64)[0], minlength=int(place.max(initial=-1)) + 1)[place] for c in ("shared", "repeats")
+    )
+    values = [hi, lo, key, n, digest, sent - shared.astype(np.int64), (sent + repeats) / np.maximum(n, 1)]
     return pa.table([pa.array(v) for v in values], names=["hi", "lo", "key", "n", "digest", "unshared", "weight"])
 
 
@@ -168,7 +195,7 @@ def _documents(fragments: int, width: int, share: float):
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
             docs = np.stack([hi, lo, key, sizes, np.asarray(batch.column("digest")), np.asarray(place, np.int64)])
             owner = np.fromiter((s[0] for s in seen), np.int64, len(seen))
-            yield _spread(part << 32 | at, fragments, share, owner, distinct, docs.tobytes())
+            yield _spread(part << 32 | at, fragments, share, owner, distinct, docs, True)
 
     return spread
 
@@ -182,38 +209,12 @@ def _classes(fragments: int):
             sets = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
             hi, n, label = (np.asarray(batch.column(c)) for c in ("hi", "n", "label"))
             docs = np.stack([hi, label, label, n, np.zeros(len(hi), np.int64), np.arange(len(hi))])
-            # Shingles that two classes of one label share are not marks: one row per label and shingle.
-            yield from _by_label(part << 32 | at, fragments, label, sets, docs)
+            # Shingles that two classes of one label share are not marks.
+            yield _spread(part << 32 | at, fragments, 1.0, label, sets, docs, False)
 
     return spread
 
 
-def _by_label(batch: int, fragments: int, label: np.ndarray, sets: list[np.ndarray], docs: np.ndarray) -> Iterator[pa.RecordBatch]:
-    rows = [[] for _ in _SPREAD_NAMES]
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    hashes, place = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    fragment = np.minimum((hashes / ((1 << 64) / fragments)).astype(np.int64), fragments - 1)
-    order = np.argsort(fragment, kind="stable")
-    edges = np.searchsorted(fragment[order], np.arange(fragments + 1))
-    for f in range(fragments):
-        part = order[edges[f] : edges[f + 1]]
-        if not len(part) and f != batch % fragments:
-            continue
-        values = [
-            f,
-            batch,
-            label.tobytes(),
-            np.bincount(place[part], minlength=len(sets)).astype(np.int32).tobytes(),
-            hashes[part].astype(np.uint32).tobytes(),
-            b"",
-            docs.tobytes() if f == batch % fragments else None,
-        ]
-        for column, value in zip(rows, values, strict=True):
-            column.append(value)
-    types = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
-    yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types, strict=True)], names=_SPREAD_NAMES)
-
-
 def _token_sets(width: int):
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(150_000)
@@ -270,79 +271,126 @@ def _cut_sets(fragments: int):
     return cut
 
 
-def _linked(partial: DataFrame, percent: int) -> DataFrame:
-    """Sum the partial overlaps of each pair and keep those that reach ``percent``."""
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``sets`` whose partial overlaps, by fragment, add up to ``percent``."""
+    parts = sets.select("hi", "n", "tokens").mapInArrow(_cut_sets(2), "fragment int, hi long, n long, tokens binary")
+    left = parts.select("fragment", F.col("hi").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("left"))
+    right = parts.select("fragment", F.col("hi").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("right"))
+    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", "left", "right").mapInArrow(_overlap, _PAIRS)
     whole = partial.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("common").alias("common"))
     return whole.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def _with_histogram(fragments: int):
-    """Cut sets into fragments; each part carries the histogram of the whole set over BINS ranges of the order."""
+def _often(table: pa.Table) -> pa.Table:
+    """Per batch of a fragment: its shingles with how often they occur, 0 for those of one label."""
+    often, shared, entry, edges = _occurrences(table)
+    place, hashes = (_joined(table, c, _SPREAD_TYPES[c])[0] for c in ("place", "hashes"))
+    token = np.int64(table.column("fragment")[0].as_py()) << 32 | hashes.astype(np.int64)
+    edges = np.searchsorted(entry, edges)
+    cells = [_cells(x, edges) for x in (place[entry], token, np.where(shared, often, 0))]
+    return pa.table([table.column("batch"), *cells, table.column("docs")], names=["batch", "place", "token", "often", "docs"])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = np.asarray([(1 << 64) * k // BINS for k in range(1, BINS)], np.uint64)
-        for batch in slices(batches, "tokens", 4 << 20):
-            sets = [np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()]
-            at = [np.concatenate([[0], np.searchsorted(t, edges), [len(t)]]) for t in sets]
-            histograms = pa.array([np.diff(x).astype(np.int32).tobytes() for x in at], pa.binary())
-            step = BINS // fragments
-            for f in range(fragments):
-                parts = [t[x[f * step] : x[(f + 1) * step]].tobytes() for t, x in zip(sets, at, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(batch.num_rows, f, np.int32)), *(batch.column(c) for c in ("hi", "n", "label")), histograms, pa.array(parts, pa.binary())],
-                    names=["fragment", "hi", "n", "label", "histogram", "tokens"],
-                )
 
-    return cut
+def _early(percent: int):
+    """For every class of a batch, its shared shingles that can be the rarest one in common with a linked class, and their places by rarity."""
+
+    def early(table: pa.Table) -> pa.Table:
+        hi, label, _, n, _, _, _ = _docs(table)
+        (place, _), (token, _), (often, _) = (_joined(table, c, t) for c, t in (("place", np.int32), ("token", np.int64), ("often", np.int64)))
+        order = np.lexsort((token, often, place))
+        place, token, often = place[order], token[order], often[order]
+        at = np.arange(len(place)) - np.searchsorted(place, place)
+        # With a linked class at least as many percent of the set are in common, and none of them before the rarest.
+        keep = (often > 0) & (100 * (n[place] - at) >= percent * n[place])
+        place, token, at = place[keep], token[keep], at[keep]
+        values = [(token >> 32).astype(np.int32), token, at, hi[place], n[place], label[place]]
+        return pa.table([pa.array(v) for v in values], names=["fragment", "token", "at", "hi", "n", "label"])
+
+    return early
 
 
-def _between_groups(percent: int, fragments: int):
+def _listed(starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, starts[i] + k) for k below lengths[i], in pieces of about LISTED pairs."""
+    ends = np.cumsum(lengths)
+    a = 0
+    while a < len(lengths):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + LISTED, side="right")))
+        length = lengths[a:b]
+        first = np.repeat(np.arange(a, b), length)
+        yield first, starts[first] + np.arange(len(first)) - np.repeat(np.cumsum(length) - length, length)
+        a = b
+
+
+def _between_groups(percent: int):
+    """Pairs of classes of different labels that may link by a shingle of the fragment.
+
+    common / union >= p / 100 means (100 + p) * common >= p * (nx + ny), and what two sets have in
+    common from their rarest common shingle on is at most what either has from there on.
+    """
+
     def pairs(table: pa.Table) -> pa.Table:
-        hi, n, label = (np.asarray(table.column(c)) for c in ("hi", "n", "label"))
-        step, f = BINS // fragments, table.column("fragment")[0].as_py()
-        rest = np.stack([np.frombuffer(x, np.int32) for x in table.column("histogram").to_pylist()])
-        rest = np.delete(rest, np.s_[f * step : (f + 1) * step], axis=1)
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
-        size = np.fromiter(map(len, sets), np.int64, len(sets))
-        place = np.repeat(np.arange(len(sets)), size)
-        tokens = np.concatenate(sets)
-        _, token = np.unique(tokens, return_inverse=True)
-        total = int(token.max()) + 1 if len(token) else 0
-        low, high = np.full(total, NO_ID), np.full(total, -NO_ID)
-        np.minimum.at(low, token, label[place])
-        np.maximum.at(high, token, label[place])
-        shared = (low < high)[token]
-        token, place = token[shared], place[shared]
-        by_token = np.argsort(token, kind="stable")
-        posting = place[by_token]
-        starts = np.searchsorted(token[by_token], np.arange(total + 1))
-        own = np.searchsorted(place, np.arange(len(sets) + 1))
-        out = [[], [], [], [], []]
-        for x in range(len(sets)):
-            mine = token[own[x] : own[x + 1]]
-            if not len(mine):
-                continue
-            a, length = starts[mine], starts[mine + 1] - starts[mine]
-            ends = np.cumsum(length)
-            near = posting[np.repeat(a - (ends - length), length) + np.arange(int(ends[-1]))]
-            y, common = np.unique(near[near > x], return_counts=True)
-            # common / union >= p / 100 means apart / both <= (100 - p) / (100 + p), with what is apart
-            # here counted and what is apart elsewhere at least the difference of the histograms.
-            most = (100 - percent) * (n[x] + n[y])
-            apart = size[x] + size[y] - 2 * common
-            keep = (label[y] != label[x]) & ((100 + percent) * apart <= most)
-            y, common, apart, most = y[keep], common[keep], apart[keep], most[keep]
-            apart = apart + np.abs(rest[y] - rest[x]).sum(1)
-            keep = (100 + percent) * apart <= most
-            y, common = y[keep], common[keep]
-            for column, value in zip(out, (np.full(len(y), hi[x]), hi[y], np.full(len(y), n[x]), n[y], common), strict=True):
-                column.append(value)
-        values = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
-        return pa.table([pa.array(v) for v in values], names=["a", "b", "na", "nb", "common"])
+        token, at, hi, n, label = (np.asarray(table.column(c)) for c in ("token", "at", "hi", "n", "label"))
+        order = np.lexsort((hi, n, token))
+        token, at, hi, n, label = token[order], at[order], hi[order], n[order], label[order]
+        new = np.ones(len(token), bool)
+        new[1:] = token[1:] != token[:-1]
+        posting = np.cumsum(new) - 1
+        # Within its posting, the smaller set x meets larger ones up to a size: those are neighbours.
+        whole = 100 + percent
+        most = np.minimum(100 * n // percent, whole * (n - at) // percent - n)
+        scale = int(n.max(initial=0)) + 1
+        rank = np.arange(len(token))
+        end = np.searchsorted(posting * scale + n, posting * scale + np.clip(most, 0, scale - 1), side="right")
+        # Pairs inside the label that a posting has most often are not listed: one of a pair is of the others.
+        by_label = np.lexsort((label, posting))
+        run = np.ones(len(token), bool)
+        run[1:] = (posting[by_label][1:] != posting[by_label][:-1]) | (label[by_label][1:] != label[by_label][:-1])
+        run_starts = np.flatnonzero(run)
+        run_sizes = np.diff(np.append(run_starts, len(token)))
+        of = by_label[run_starts]
+        main = np.empty(int(posting[-1]) + 1 if len(posting) else 0, np.int64)
+        by_size = np.argsort(run_sizes, kind="stable")
+        main[posting[of][by_size]] = label[of][by_size]
+        other = label != main[posting]
+        found = [np.zeros((2, 0), np.int64)]
+        for left, right in ((rank, rank[other]), (rank[other], rank[~other])):
+            starts = np.searchsorted(right, left, side="right")
+            lengths = np.maximum(np.searchsorted(right, end[left]) - starts, 0)
+            for i, j in _listed(starts, lengths):
+                x, y = left[i], right[j]
+                keep = (label[x] != label[y]) & (whole * (n[y] - at[y]) >= percent * (n[x] + n[y]))
+                x, y = hi[x[keep]], hi[y[keep]]
+                found.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1))
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return pairs
 
 
+def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each set in BINS ranges of the order, up to 255 each: what is cut off can only make sets differ less."""
+    edges = np.asarray([(1 << 64) * k // BINS for k in range(1, BINS)], np.uint64)
+    for batch in slices(batches, "tokens", 4 << 20):
+        at = ([0, *np.searchsorted(t, edges), len(t)] for t in (np.frombuffer(x, np.uint64) for x in batch.column("tokens").to_pylist()))
+        bins = pa.array([np.minimum(np.diff(x), 255).astype(np.uint8).tobytes() for x in at], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("hi"), batch.column("n"), bins], names=["hi", "n", "bins"])
+
+
+def _allowed(percent: int):
+    """The pairs that may link for all their histograms differ: (100 + p) * apart <= (100 - p) * (na + nb)."""
+
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("left", "right"))
+            apart = np.abs(left - right).sum(1, dtype=np.int64)
+            keep = pa.array((100 + percent) * apart <= (100 - percent) * (np.asarray(batch.column("na")) + np.asarray(batch.column("nb"))))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+    return allowed
+
+
 def signatures(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """The other columns of ``rows`` with hi, lo, the signature of the shingle set of ``text``."""
     names = [c for c in rows.columns if c != "text"]
@@ -390,22 +438,19 @@ def linked_classes(documents: DataFrame, percent: int = 75, width: int = WIDTH)
     centre = buckets.groupBy("band", "least").agg(F.max(F.struct("weight", "hi")).alias("top"), F.count("*").alias("members"))
     stars = buckets.join(centre.where("members > 1"), ["band", "least"]).select(F.col("hi").alias("a"), F.col("top.hi").alias("b"))
     stars = stars.where("a != b").distinct()
-    parts = sets.select("hi", "n", "tokens").mapInArrow(_cut_sets(2), "fragment int, hi long, n long, tokens binary")
-    left = parts.select("fragment", F.col("hi").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("left"))
-    right = parts.select("fragment", F.col("hi").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("right"))
-    partial = stars.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", "left", "right").mapInArrow(_overlap, _PAIRS)
-    links = written(_linked(partial, percent), "star-links")
+    links = written(_linked(stars, sets, percent), "star-links")
     labels = components(links)
     # What is left between groups.
     grouped = sets.join(labels, sets["hi"] == labels["node"], "left").select(sets["hi"], "n", "tokens", F.coalesce("label", "hi").alias("label"))
     grouped = written(grouped, "grouped")
     left_over = written(grouped.select("hi", "n", "tokens").join(alive(grouped), "hi"), "left-over")
-    parts = min(BINS, 1 << (fragments - 1).bit_length())
-    cut = left_over.select("hi", "n", "label", "tokens").mapInArrow(
-        _with_histogram(parts), "fragment int, hi long, n long, label long, histogram binary, tokens binary"
-    )
-    more = cut.groupBy("fragment").applyInArrow(_between_groups(percent, parts), _PAIRS)
-    links = written(links.union(_linked(more, percent)), "all-links")
+    spread = left_over.select("hi", "n", "label", "tokens").mapInArrow(_classes(fragments), _SPREAD)
+    early = spread.groupBy("fragment").applyInArrow(_often, _OFTEN).groupBy("batch").applyInArrow(_early(percent), _EARLY)
+    between = early.groupBy("fragment").applyInArrow(_between_groups(percent), "a long, b long").distinct()
+    bins = left_over.select("hi", "n", "tokens").mapInArrow(_histograms, "hi long, n long, bins binary")
+    between = between.join(bins.toDF("a", "na", "left"), "a").join(bins.toDF("b", "nb", "right"), "b")
+    between = written(between.mapInArrow(_allowed(percent), "a long, b long"), "between")
+    links = written(links.union(_linked(between, left_over, percent)), "all-links")
     return docs, components(links).withColumnRenamed("node", "hi")
 
 

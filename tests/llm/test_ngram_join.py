@@ -1,7 +1,12 @@
 import random
 import re
+import time
 from collections import Counter
+from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from flowplan.llm import ngram_join as J
@@ -86,6 +91,59 @@ def test_many_rows_without_doc_id(spark, docs):
     assert sum(r.n_shingles == 3 for r in found) == 1000
 
 
+def grouped(tables, column, function):
+    whole = pa.concat_tables(tables)
+    return [function(whole.filter(pc.equal(whole.column(column), k))) for k in pc.unique(whole.column(column))]
+
+
+@pytest.mark.parametrize("percent", [50, 75, 90, 100])
+def test_every_link_between_groups_is_listed(percent):
+    rng = np.random.default_rng(percent)
+    sets, label = [], []
+    common = rng.integers(0, 1 << 64, 60, np.uint64)
+    for g in range(25):
+        base = np.unique(np.concatenate([common[: rng.integers(0, 60)], rng.integers(0, 1 << 64, rng.integers(1, 60), np.uint64)]))
+        for _ in range(rng.integers(1, 9)):
+            kept = base[rng.random(len(base)) > rng.choice([0.0, 0.05, 0.2])]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 64, rng.integers(1, 8), np.uint64)])))
+            label.append(int(rng.choice([g, 100 + len(sets)])))
+    label, hi = np.asarray(label), np.arange(len(sets)) + 1000
+    n = np.asarray([len(s) for s in sets])
+    spread = []
+    for batch, ids in enumerate(np.array_split(np.arange(len(sets)), 3)):
+        docs = np.stack([hi[ids], label[ids], label[ids], n[ids], 0 * ids, np.arange(len(ids))])
+        spread.append(pa.Table.from_batches([J._spread(batch, 4, 1.0, label[ids], [sets[i] for i in ids], docs, False)]))
+    early = grouped(grouped(spread, "fragment", J._often), "batch", J._early(percent))
+    listed = {p for t in grouped(early, "fragment", J._between_groups(percent)) for p in zip(t["a"].to_pylist(), t["b"].to_pylist())}
+    links = set()
+    for i, j in combinations(range(len(sets)), 2):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        if label[i] != label[j] and 100 * both >= percent * (n[i] + n[j] - both):
+            links.add((int(hi[i]), int(hi[j])))
+    assert links <= listed
+    assert percent == 100 or links
+    assert all(label[a - 1000] != label[b - 1000] for a, b in listed)
+
+
+def test_common_passage_does_not_list_all_pairs(spark, docs):
+    """Most of every document is one passage, a part is shared with one other document, so all stay and none link."""
+
+    def crowd(size):
+        rows = [
+            (i, " ".join([*(f"c{k}" for k in range(44)), *(f"p{i // 2}x{k}" for k in range(9)), *(f"u{i}x{k}" for k in range(12))]))
+            for i in range(size)
+        ]
+        rows.append((-1, rows[0][1] + " end"))
+        table = docs(rows).repartition(4).localCheckpoint()
+        began = time.time()
+        found = sorted(tuple(r) for r in J.jaccard_components(table).collect())
+        assert found == sorted([(-1, 62, -1), (0, 61, -1), *((i, 61, i) for i in range(1, size))])
+        return time.time() - began
+
+    few, many = crowd(500), crowd(9000)
+    assert many < 2 * few, (few, many)
+
+
 def test_query_over_whole_table(spark):
     rows = [tuple(r) for r in table(spark, FOLDER, "documents").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in QUERIES["op4_ngram_join"](spark, FOLDER).collect()) == brute(rows)
